@@ -17,17 +17,16 @@ def ghosts(
     """Payroll rows whose id is not in the golden table; a null id is not either.
 
     Copies of a row are all kept.  Ids repeated very often are split over tasks
-    by the hash of `spread`, of the whole row without one.
+    by the hash of `spread`.
     """
     ids = golden.select(key).where(F.col(key).isNotNull()).distinct()
-    by = F.col(spread) if spread else F.xxhash64(*payroll.columns)
-    return skew_join(payroll, ids, [key], by, "left_anti")
+    return skew_join(payroll, ids, [key], spread, "left_anti")
 
 
 def merged_ghosts(ghost_rows: DataFrame, edges: DataFrame, key: str = "employee_id") -> DataFrame:
     """Ghosts that were merged into another record rather than being unknown."""
     dropped = edges.select(F.col("dropped_id").alias(key)).where(F.col(key).isNotNull()).distinct()
-    return skew_join(ghost_rows, dropped, [key], F.xxhash64(*ghost_rows.columns), "left_semi")
+    return skew_join(ghost_rows, dropped, [key], how="left_semi")
 
 
 def ghost_rate(ghost_rows: DataFrame, payroll: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def skew_join(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
-    spread: Column | str,
+    spread: Column | str | None = None,
     how: str = "inner",
     null_safe: bool = False,
     max_keys: int = MAX_HOT_KEYS,
@@ -49,9 +49,13 @@ def skew_join(
     """Join `rows` to `lookup` on equally named keys.
 
     Rows of a hot key go to slices by the hash of `spread`, a column that tells
-    rows apart; the lookup rows of that key are repeated once per slice.  `how`
-    may be any join type that keeps or drops rows of the left side.
+    rows apart; the lookup rows of that key are repeated once per slice.  Without
+    such a column the input partition and the whole row decide, so that even
+    equal copies of a row are spread, and a repeated task makes the same choice.
+    `how` may be any join type that keeps or drops rows of the left side.
     """
+    if spread is None:
+        spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
     hot = F.broadcast(hot_keys(rows, keys, max_keys, min_rows))
     slice_count = F.coalesce("_slices", F.lit(1))
     left = (
