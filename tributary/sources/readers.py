@@ -35,9 +35,6 @@ from tributary.staging import stage
 DEAD_LETTERS = "source string, path string, reason string, record string"
 SCHEMA_ISSUES = "source string, column string"
 
-_NEVER = "\u0000"  # stands in for a null marker where no text may become null
-
-
 class SourceRead(NamedTuple):
     rows: DataFrame
     dead_letters: DataFrame
@@ -99,21 +96,23 @@ def read_delimited(
         header = spark.read.options(**options).csv(path).columns
     except AnalysisException as error:
         return _unreadable(spark, tag, path, error, expected, True)
-    fields = ", ".join(f"`{name}` string" for name in [*header, "_surplus"])
-    # without a null marker only absent fields are null, so _surplus tells long records
+    fields = ", ".join(f"`{name}` string" for name in [*header, "_broken"])
+    # Spark marks records of any other length; the commas outside quotes tell long ones
     read = (
         spark.read.schema(fields)
-        .options(**options, mode="PERMISSIVE", nullValue=_NEVER, emptyValue="")
+        .options(
+            **options, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken",
+            emptyValue="", columnPruning=False,
+        )
         .csv(path)
         .select("*", F.col("_metadata.file_path").alias("_file"), input_order(source_rank).alias("_ord"))
     )
+    unquoted = F.regexp_replace("_broken", '"[^"]*"', "")
+    is_long = F.coalesce(F.regexp_count(unquoted, F.lit(",")) >= len(header), F.lit(False))
     values = [missing_to_null(F.col(f"`{name}`"), na_tokens).alias(name) for name in header]
-    rows = read.where("_surplus is null").select(*values, "_ord")
-    long = read.where("_surplus is not null")
-    record = F.concat_ws(",", *[f"`{name}`" for name in [*header, "_surplus"]])
     return SourceRead(
-        tag_source(rows, tag),
-        _dead(long, tag, F.lit("more fields than the header"), record),
+        tag_source(read.where(~is_long).select(*values, "_ord"), tag),
+        _dead(read.where(is_long), tag, F.lit("more fields than the header"), F.col("_broken")),
         missing_columns(spark, tag, expected, header),
     )
 
