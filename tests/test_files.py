@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tests.workbook_files import workbook
+from tributary.queries.workbook_files import workbook
 from tributary.fixed_values import NESTED_RENAMES, PAYROLL_COLUMNS, ROSTER_COLUMNS
 from tributary.operators.conform import (
     conform, empty_frame, map_codes, map_codes_from, stack, unmapped_values)
@@ -72,7 +72,7 @@ def test_nested_pages(spark, tmp_path, rows_of, count, pages):
     path = write(tmp_path / "a.json", json.dumps({"employees": people(count)}, indent=1))
     read = readers.read_nested(spark, path)
     assert read.rows.count() == count and read.dead_letters.count() == 0
-    assert rows_of(readers.page_statistics(read.rows).drop("_file")) == pages
+    assert rows_of(readers.page_statistics(read.rows).drop("_file", "_document")) == pages
 
 
 def test_nested_values(spark, tmp_path):
@@ -88,6 +88,15 @@ def test_nested_values(spark, tmp_path):
     ]
 
 
+def test_nested_pages_per_line(spark, tmp_path):
+    pages = [people(3)[i:i + 1] for i in range(3)] + [people(2)]
+    write(tmp_path / "pages.json", "\n".join(json.dumps({"employees": p}) for p in pages) + "\n{broken\n")
+    read = readers.read_nested(spark, str(tmp_path), multi_line=False)
+    ids = [r.employee_identifier[-1] for r in read.rows.orderBy("_ord").collect()]
+    assert ids == list("01201") and [l[1] for l in letters(read)] == ["malformed document"]
+    assert readers.page_statistics(read.rows).count() == 4
+
+
 def test_nested_dead_letters(spark, tmp_path):
     write(tmp_path / "bad.json", '{"employees": [')
     write(tmp_path / "none.json", '{"employees": []}')

@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from tests.workbook_files import workbook
+from tributary.queries.workbook_files import workbook
 from tributary.fixed_values import ROSTER_COLUMNS
 from tributary.operators.quality import QualityGateError
 from tributary.plans.pipeline import run_pipeline

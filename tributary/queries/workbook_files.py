@@ -1,4 +1,4 @@
-"""Minimal workbooks for tests: shared and inline strings, numbers and dates."""
+"""Minimal workbooks for round trips: shared and inline strings, numbers and dates."""
 
 import datetime
 import io

@@ -41,14 +41,14 @@ class SourceRead(NamedTuple):
     schema_issues: DataFrame
 
 
-def input_order(source_rank: int, position: Column | None = None) -> Column:
-    """Order of a row: source, file, block in the file, position in the block."""
-    place = F.monotonically_increasing_id() if position is None else position.cast("bigint")
+def input_order(source_rank: int, record: Column, position: Column) -> Column:
+    """Order of a row: source, file, block in the file, record, position in the record."""
     return F.struct(
         F.lit(source_rank).alias("source"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        place.alias("place"),
+        record.cast("bigint").alias("record"),
+        position.cast("bigint").alias("position"),
     )
 
 
@@ -71,7 +71,7 @@ def _unreadable(spark, tag, path, error, columns, with_order) -> SourceRead:
     letter = spark.createDataFrame([(tag, str(path), reason, None)], DEAD_LETTERS)
     rows = tag_source(empty_frame(spark, [c for c in columns if c != "source"]), tag)
     if with_order:
-        order = "struct<source: int, file: string, block: bigint, place: bigint>"
+        order = "struct<source: int, file: string, block: bigint, record: bigint, position: bigint>"
         rows = rows.withColumn("_ord", F.lit(None).cast(order))
     return SourceRead(rows, letter, spark.createDataFrame([], SCHEMA_ISSUES))
 
@@ -105,10 +105,18 @@ def read_delimited(
             emptyValue="", columnPruning=False,
         )
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("_file"), input_order(source_rank).alias("_ord"))
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            input_order(source_rank, F.monotonically_increasing_id(), F.lit(0)).alias("_ord"),
+        )
     )
     unquoted = F.regexp_replace("_broken", '"[^"]*"', "")
-    is_long = F.coalesce(F.regexp_count(unquoted, F.lit(",")) >= len(header), F.lit(False))
+    # Spark refuses queries on `_broken` alone, so the condition looks at a field too
+    filled = F.col("_broken").isNotNull() | F.col(f"`{header[0]}`").isNotNull()
+    is_long = F.coalesce(
+        F.when(filled, F.regexp_count(unquoted, F.lit(",")) >= len(header)), F.lit(False)
+    )
     values = [missing_to_null(F.col(f"`{name}`"), na_tokens).alias(name) for name in header]
     return SourceRead(
         tag_source(read.where(~is_long).select(*values, "_ord"), tag),
@@ -126,30 +134,37 @@ def read_nested(
     source_rank: int = 2,
     code_column: str | None = "employment_type",
     codes: dict = EMPLOYMENT_CODES,
+    multi_line: bool = True,
 ) -> SourceRead:
     """JSON documents with an array of objects, one flat row per object.
 
-    The schema is given, so no pass over the files is spent on finding it.  Each
-    document is one task; a large export should come as a folder of pages.
-    `_file` and `_position` tell where an object stood.
+    The schema is given, so no pass over the files is spent on finding it.  A
+    file holds one document and is one task; a large export should come as a
+    folder of page files, or with `multi_line=False` as files of one page per
+    line, which Spark can split.  `_file`, `_document` and `_position` tell
+    where an object stood.
     """
     try:
         documents = (
             spark.read.schema(f"{schema}, _broken string")
-            .options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
+            .options(multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
             .json(path)
             .select(records, "_broken", "_metadata")
-            .withColumn("_file", F.col("_metadata.file_path"))
+            .withColumns(
+                {"_file": F.col("_metadata.file_path"), "_document": F.monotonically_increasing_id()}
+            )
         )
     except AnalysisException as error:
         nested = spark.createDataFrame([], schema).select(F.explode(records).alias("r"))
         columns = flatten(nested.select("r.*")).columns
         return _unreadable(spark, tag, path, error, columns, True)
-    exploded = documents.select("_file", "_metadata", F.posexplode(records).alias("_position", "r"))
+    exploded = documents.select(
+        "_file", "_document", "_metadata", F.posexplode(records).alias("_position", "r")
+    )
     flat = flatten(
         exploded.select(
-            "r.*", "_file", "_position",
-            input_order(source_rank, F.col("_position")).alias("_ord"),
+            "r.*", "_file", "_document", "_position",
+            input_order(source_rank, F.col("_document"), F.col("_position")).alias("_ord"),
         ),
         keep=("_ord",),
     )
@@ -166,11 +181,14 @@ def read_nested(
 
 
 def page_statistics(
-    rows: DataFrame, file: str = "_file", position: str = "_position", page_size: int = PAGE_SIZE
+    rows: DataFrame,
+    document: tuple[str, ...] = ("_file", "_document"),
+    position: str = "_position",
+    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """Records, first and last offset of each page of a document."""
     page = (F.floor(F.col(position) / page_size) + 1).cast("int").alias("page")
-    return rows.groupBy(file, page).agg(
+    return rows.groupBy(*document, page).agg(
         F.count("*").alias("records"),
         F.min(position).alias("first_offset"),
         F.max(position).alias("last_offset"),
