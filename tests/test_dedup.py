@@ -175,8 +175,10 @@ def random_names(count, prefix, alphabet, longest):
     return rows
 
 
+@pytest.mark.parametrize("dense_from", [0, 100_000])
 @pytest.mark.parametrize("seed,alphabet,longest", [(1, "abc", 4), (2, "abcdefgh", 8), (3, "aé😀 b", 30)])
-def test_linkage_equals_all_pairs(spark, seed, alphabet, longest):
+def test_linkage_equals_all_pairs(spark, monkeypatch, seed, alphabet, longest, dense_from):
+    monkeypatch.setattr(linkage, "_DENSE_FROM", dense_from)  # with and without steps
     random.seed(seed)
     left, right = random_names(120, "l", alphabet, longest), random_names(160, "r", alphabet, longest)
     for i in range(0, 120, 6):  # near copies, so that long names have partners too

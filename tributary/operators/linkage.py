@@ -41,11 +41,13 @@ from tributary.operators.skew import skew_join
 from tributary.staging import stage
 
 CUTOFF_STEPS = (94, 88)  # tried after equal names and before the final cutoff
+_DENSE_FROM = 100_000    # fewer right names than this go straight to the final cutoff
 
 _CHARACTER_BINS = 256    # characters are counted by code point modulo this
 _OCCURRENCE_BITS = 20    # room for the running number of a repeated character
-_TRIPLE_LIMIT = 64       # up to this total length signatures are triples
-_PAIR_LIMIT = 200        # and up to this one pairs, beyond it single characters
+# characters per signature by the total length of a pair: the longer the names, the
+# more combinations a prefix has; beyond the last limit single characters are used
+_SIGNATURE_SIZES = ((64, 3), (200, 2))
 
 
 def linkage_rows(
@@ -76,22 +78,21 @@ def _needed(total: str, cutoff: int) -> str:
 
 def _signature_size(total: str, cutoff: int) -> str:
     """SQL: number of characters in the signatures on which such a pair meets."""
-    return (
-        f"least({_needed(total, cutoff)}, case when {total} <= {_TRIPLE_LIMIT} then 3 "
-        f"when {total} <= {_PAIR_LIMIT} then 2 else 1 end)"
-    )
+    cases = " ".join(f"when {total} <= {limit} then {size}" for limit, size in _SIGNATURE_SIZES)
+    return f"least({_needed(total, cutoff)}, case {cases} else 1 end)"
 
 
-# SQL: all ascending combinations of the entries (e: element, p: place) of an array
-# column {0}, each with the number of places up to its last element
-_COMBINATIONS = {
-    1: "transform({0}, a -> struct(array(a.e) as combo, a.p + 1 as place))",
-    2: "flatten(transform({0}, a -> transform(slice({0}, a.p + 2, size({0})), b -> "
-       "struct(array(a.e, b.e) as combo, b.p + 1 as place))))",
-    3: "flatten(transform({0}, a -> flatten(transform(slice({0}, a.p + 2, size({0})), b -> "
-       "transform(slice({0}, b.p + 2, size({0})), c -> "
-       "struct(array(a.e, b.e, c.e) as combo, c.p + 1 as place))))))",
-}
+def _combinations(places: str, size: int) -> str:
+    """SQL: all ascending combinations of the entries (e: element, p: place) of an array,
+    each with the number of places up to its last element."""
+    elements = ", ".join(f"x{level}.e" for level in range(1, size + 1))
+    sql = f"struct(array({elements}) as combo, x{size}.p + 1 as place)"
+    for level in range(size, 0, -1):
+        entries = places if level == 1 else f"slice({places}, x{level - 1}.p + 2, size({places}))"
+        sql = f"transform({entries}, x{level} -> {sql})"
+        if level < size:
+            sql = f"flatten({sql})"
+    return sql
 
 
 def _character_ranks(keys: DataFrame) -> list[int]:
@@ -110,10 +111,12 @@ def _character_ranks(keys: DataFrame) -> list[int]:
 
 
 def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
-    """Adds the length of `key` and its characters as ascending numbers.
+    """Adds the length of `key`, its characters as ascending numbers, and a bit set.
 
     The number is rank << 20 | running number, so a repeated character gives
-    different elements and shared elements count repetitions.
+    different elements and shared elements count repetitions.  The bit set has one
+    of 64 bits per element: each bit that only one of two names has is an element
+    that the other one lacks.
     """
     table = f"array({', '.join(map(str, ranks))})"
     bins = (
@@ -128,10 +131,13 @@ def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
         f"transform(_bins, (bin, place) -> "
         f"shiftleft(bin, {_OCCURRENCE_BITS}) + int(place + 1 - _first[bin]))"
     )
+    bit = f"(shiftright(e, {_OCCURRENCE_BITS}) + 29 * (e & {(1 << _OCCURRENCE_BITS) - 1})) % 64"
+    bits = f"aggregate(elements, 0L, (set, e) -> set | shiftleft(1L, int({bit})))"
     return (
         keys.withColumn("_bins", F.expr(bins))
         .withColumn("_first", F.expr(first_place))
         .withColumns({"length": F.size("_bins"), "elements": F.expr(elements)})
+        .withColumn("bits", F.expr(bits))
         .drop("_bins", "_first")
     )
 
@@ -143,19 +149,18 @@ def _signatures(keys: DataFrame, cutoff: int) -> DataFrame:
     rows = keys.where("length > 0").withColumn(
         "_totals", F.expr(f"sequence(length + {shortest}, length + {longest})")
     )
-    for size in _COMBINATIONS:
+    sizes = range(1, 1 + max(size for _, size in _SIGNATURE_SIZES))
+    for size in sizes:
         smallest = f"array_min(filter(_totals, t -> {_signature_size('t', cutoff)} = {size}))"
         prefix = f"length - {_needed(smallest, cutoff)} + {size}"
         rows = rows.withColumn(
             f"_places_{size}",
             F.expr(f"transform(slice(elements, 1, {prefix}), (e, p) -> struct(e, p))"),
         )
-    every = ", ".join(
-        f"coalesce({sql.format(f'_places_{size}')}, array())" for size, sql in _COMBINATIONS.items()
-    )
+    every = ", ".join(f"coalesce({_combinations(f'_places_{size}', size)}, array())" for size in sizes)
     return (
         rows.withColumn("signature", F.explode(F.expr(f"concat({every})")))
-        .drop("_totals", *[f"_places_{size}" for size in _COMBINATIONS])
+        .drop("_totals", *[f"_places_{size}" for size in sizes])
         .withColumn("meeting", F.xxhash64("block", "signature.combo"))
     )
 
@@ -167,7 +172,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     exploded sides are far larger than their inputs suggest, hence the hint for
     a join that shuffles, spills and splits skewed partitions.
     """
-    others = [c for c in right.columns if c not in ("block", "key", "length", "elements")]
+    own = ("block", "key", "length", "elements", "bits")
+    others = [c for c in right.columns if c not in own]
     a, b = _signatures(left, cutoff).alias("a"), _signatures(right, cutoff).alias("b")
     total = "a.length + b.length"
     need, size = _needed(total, cutoff), "size(a.signature.combo)"
@@ -181,6 +187,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
             and {need} <= least(a.length, b.length)
             and a.signature.place <= a.length - {need} + {size}
             and b.signature.place <= b.length - {need} + {size}
+            and a.length - bit_count(a.bits & ~b.bits) >= {need}
+            and b.length - bit_count(b.bits & ~a.bits) >= {need}
             and size({shared}) >= {need}
             and slice({shared}, 1, {size}) = a.signature.combo"""
         ),
@@ -221,9 +229,13 @@ def best_candidates(
     right: DataFrame,
     cutoff: int = CANDIDATE_SCORE,
     limit: int = CANDIDATE_LIMIT,
-    steps: tuple[int, ...] = CUTOFF_STEPS,
+    steps: tuple[int, ...] | None = None,
 ) -> DataFrame:
-    """Per distinct left name (block, key) its best right rows as an ordered array."""
+    """Per distinct left name (block, key) its best right rows as an ordered array.
+
+    `steps` are the cutoffs tried before the final one; without it they depend on
+    the number of right names, because few names cannot crowd any neighbourhood.
+    """
     per_name = Window.partitionBy("block", "key").orderBy("ord")
     members = (
         right.withColumn("_rank", F.row_number().over(per_name))
@@ -236,15 +248,21 @@ def best_candidates(
     )
     members = stage(members, "linkage-right")
     ranks = _character_ranks(members)
-    targets = stage(with_elements(members, ranks), "linkage-right")
+    # names are few bytes but multiply in the next step, so they go to all cores
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    targets = with_elements(members.repartition(cores, "block", "key"), ranks)
+    targets = stage(targets, "linkage-right")
     names = left.where("name != ''").select("block", "key").distinct()
-    wanted = stage(with_elements(names, ranks), "linkage-left")
+    wanted = with_elements(names.repartition(cores, "block", "key"), ranks)
+    wanted = stage(wanted, "linkage-left")
 
     equal = wanted.select("block", "key").join(members, ["block", "key"]).withColumn(
         "score", F.lit(100.0)
     )
     found = _best(equal, limit)
     finished = []
+    if steps is None:
+        steps = CUTOFF_STEPS if targets.count() >= _DENSE_FROM else ()
     for step in (*steps, cutoff):
         found = stage(found, "linkage-found")
         full = found.where(F.size("candidates") >= limit)

@@ -391,9 +391,9 @@ ORACLES = {
     "box_stats": f"""SELECT segment, n, round(whisker_low, 4) AS whisker_low, round(q1, 4) AS q1,
         round(median, 4) AS median, round(q3, 4) AS q3, round(whisker_high, 4) AS whisker_high, outliers
         FROM ({_boxes(_EMPLOYMENTS, 'segment', 'price')})""",
-    "box_outliers": f"""SELECT i.l_returnflag, l_extendedprice FROM lineitem i
-        JOIN ({_boxes('lineitem', 'l_returnflag', 'l_extendedprice')}) b ON b.l_returnflag = i.l_returnflag
-        WHERE l_extendedprice NOT BETWEEN whisker_low AND whisker_high""",
+    "box_outliers": f"""SELECT d.lang, CAST(n_chars AS DOUBLE) AS n_chars FROM documents d
+        JOIN ({_boxes('documents', 'lang', 'n_chars')}) b ON b.lang = d.lang
+        WHERE n_chars NOT BETWEEN whisker_low AND whisker_high""",
     "tenure_hist": f"""
         WITH t AS {_TENURES}, r AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 20 AS w FROM t),
         e AS (SELECT CAST(i AS INTEGER) AS bin, lo + (i - 1) * w AS bin_low,

@@ -471,10 +471,10 @@ def box_stats(spark, folder):
 
 
 def box_outliers(spark, folder):
-    """Prices of line items beyond the whiskers of their return flag."""
-    items = _read(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
-    boxes = quantiles.box_statistics(items, "l_extendedprice", "l_returnflag")
-    return quantiles.box_outliers(items, "l_extendedprice", "l_returnflag", boxes)
+    """Text lengths beyond the whiskers of their language."""
+    documents = _read(spark, folder, "documents").select("lang", "n_chars")
+    boxes = quantiles.box_statistics(documents, "n_chars", "lang")
+    return quantiles.box_outliers(documents, "n_chars", "lang", boxes)
 
 
 def tenure_hist(spark, folder):
