@@ -47,7 +47,7 @@ _CHARACTER_BINS = 256    # characters are counted by code point modulo this
 _OCCURRENCE_BITS = 20    # room for the running number of a repeated character
 # characters per signature by the total length of a pair: the longer the names, the
 # more combinations a prefix has; beyond the last limit single characters are used
-_SIGNATURE_SIZES = ((64, 3), (200, 2))
+_SIGNATURE_SIZES = ((40, 3), (80, 2))
 
 
 def linkage_rows(
@@ -73,7 +73,7 @@ def linkage_rows(
 
 def _needed(total: str, cutoff: int) -> str:
     """SQL: smallest LCS of a pair of this total length that reaches the cutoff."""
-    return f"int(ceil({cutoff} * ({total}) / 200))"
+    return f"int(({cutoff} * ({total}) + 199) div 200)"
 
 
 def _signature_size(total: str, cutoff: int) -> str:
@@ -144,8 +144,8 @@ def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
 
 def _signatures(keys: DataFrame, cutoff: int) -> DataFrame:
     """One row per name and combination that a partner within the cutoff can share."""
-    shortest = f"int(ceil({cutoff} * length / {200 - cutoff}))"
-    longest = f"int(floor({200 - cutoff} * length / {cutoff}))"
+    shortest = f"int(({cutoff} * length + {199 - cutoff}) div {200 - cutoff})"
+    longest = f"int({200 - cutoff} * length div {cutoff})"
     rows = keys.where("length > 0").withColumn(
         "_totals", F.expr(f"sequence(length + {shortest}, length + {longest})")
     )
@@ -178,19 +178,18 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     total = "a.length + b.length"
     need, size = _needed(total, cutoff), "size(a.signature.combo)"
     shared = "array_intersect(a.elements, b.elements)"
-    met = a.join(
+    met = a.join(  # conditions are tested in this order, cheap ones first
         b.hint("merge"),
         F.expr(
             f"""a.meeting = b.meeting and a.block = b.block
-            and a.signature.combo = b.signature.combo
-            and {size} = {_signature_size(total, cutoff)}
-            and {need} <= least(a.length, b.length)
-            and a.signature.place <= a.length - {need} + {size}
-            and b.signature.place <= b.length - {need} + {size}
             and a.length - bit_count(a.bits & ~b.bits) >= {need}
             and b.length - bit_count(b.bits & ~a.bits) >= {need}
+            and a.signature.place <= a.length - {need} + {size}
+            and b.signature.place <= b.length - {need} + {size}
+            and {size} = {_signature_size(total, cutoff)}
             and size({shared}) >= {need}
-            and slice({shared}, 1, {size}) = a.signature.combo"""
+            and slice({shared}, 1, {size}) = a.signature.combo
+            and a.signature.combo = b.signature.combo"""
         ),
     )
     measured = met.select(
@@ -202,15 +201,20 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
-def _best(pairs: DataFrame, limit: int) -> DataFrame:
+def _best(pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
     """The `limit` best right rows per left name: score, then input order.
 
-    Rows of the best `limit` names contain them, so at most limit² rows of a
-    name are ever collected.
+    They belong to the best `limit` right names, so only these look up their rows,
+    and at most limit² rows of a left name are ever collected.
     """
     ranking = Window.partitionBy("block", "key").orderBy(F.desc("score"), "first_ord")
-    near = pairs.withColumn("_rank", F.row_number().over(ranking)).where(F.col("_rank") <= limit)
-    spelled = F.flatten(F.collect_list(F.transform(
+    near = (
+        pairs.withColumn("_rank", F.row_number().over(ranking))
+        .where(F.col("_rank") <= limit)
+        .select("block", "key", "right_key", "score")
+    )
+    rows = members.select("block", F.col("key").alias("right_key"), "members")
+    placed = F.transform(
         "members",
         lambda m: F.struct(
             (-F.col("score")).alias("negative"),
@@ -218,9 +222,11 @@ def _best(pairs: DataFrame, limit: int) -> DataFrame:
             m["name"].alias("name"), m["date"].alias("date"),
             F.col("score").alias("score"),
         ),
-    )))
-    return near.groupBy("block", "key").agg(
-        F.slice(F.array_sort(spelled), 1, limit).alias("candidates")
+    )
+    return (
+        near.join(rows, ["block", "right_key"])  # both sides shuffled: AQE splits hot names
+        .groupBy("block", "key")
+        .agg(F.slice(F.array_sort(F.flatten(F.collect_list(placed))), 1, limit).alias("candidates"))
     )
 
 
@@ -250,16 +256,19 @@ def best_candidates(
     ranks = _character_ranks(members)
     # names are few bytes but multiply in the next step, so they go to all cores
     cores = left.sparkSession.sparkContext.defaultParallelism
-    targets = with_elements(members.repartition(cores, "block", "key"), ranks)
+    names = members.select("block", "key", "first_ord")
+    targets = with_elements(names.repartition(cores, "block", "key"), ranks)
     targets = stage(targets, "linkage-right")
     names = left.where("name != ''").select("block", "key").distinct()
     wanted = with_elements(names.repartition(cores, "block", "key"), ranks)
     wanted = stage(wanted, "linkage-left")
 
-    equal = wanted.select("block", "key").join(members, ["block", "key"]).withColumn(
-        "score", F.lit(100.0)
+    equal = (
+        wanted.select("block", "key")
+        .join(members.select("block", "key", "first_ord"), ["block", "key"])
+        .select("*", F.col("key").alias("right_key"), F.lit(100.0).alias("score"))
     )
-    found = _best(equal, limit)
+    found = _best(equal, members, limit)
     finished = []
     if steps is None:
         steps = CUTOFF_STEPS if targets.count() >= _DENSE_FROM else ()
@@ -268,9 +277,9 @@ def best_candidates(
         full = found.where(F.size("candidates") >= limit)
         finished.append(full)
         wanted = wanted.join(full.select("block", "key"), ["block", "key"], "left_anti")
-        near = similar_pairs(wanted, targets, step).drop("right_key")
+        near = similar_pairs(wanted, targets, step)
         blank = equal.where("key = ''").join(wanted, ["block", "key"], "left_semi")
-        found = _best(near.unionByName(blank), limit)
+        found = _best(near.unionByName(blank), members, limit)
     everything = stage(found, "linkage-found")
     for full in finished:
         everything = everything.unionByName(full)
