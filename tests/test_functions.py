@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pandas as pd
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tributary.functions import dates, ids, money, similarity, text
+from tributary.functions import dates, ids, money, rounding, similarity, text
 
 
 def values(spark, rows, schema, column):
@@ -130,3 +131,13 @@ def test_tenure(spark):
     got = values(spark, [(datetime.date(2020, 1, 1),), (None,)], "d date",
                  dates.tenure_years(F.col("d"), "2024-01-01"))
     assert got == [1461 / 365.25, None]
+
+
+def test_rounding_by_exact_value(spark):
+    random.seed(2)
+    numbers = [(2 * k + 1) / 20000 for k in range(3000)] + [1 - n / 997 for n in range(998)]
+    numbers += [random.random() for _ in range(2000)] + [0.00015, 0.03125, 0.09375, 0.5, 1.0, 0.0, -0.00015]
+    got = values(spark, [(n,) for n in numbers], "x double", rounding.rounded(F.col("x"), 4))
+    assert got == [round(n, 4) for n in numbers]
+    got = values(spark, [(n * 100,) for n in numbers], "x double", rounding.rounded(F.col("x"), 1))
+    assert got == [round(n * 100, 1) for n in numbers]

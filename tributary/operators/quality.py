@@ -23,6 +23,7 @@ from tributary.fixed_values import (
     QUALITY_THRESHOLD,
 )
 from tributary.functions.dates import as_of_date
+from tributary.functions.rounding import rounded
 
 REPORT_COLUMNS = ["check", "description", "total", "passed", "failed", "pass_rate", "status"]
 
@@ -49,7 +50,7 @@ class Check:
 
 
 def _rounded(rate: Column) -> Column:
-    return F.bround(rate, 4)
+    return rounded(rate, 4)
 
 
 def _verdict(passes: Column) -> Column:
