@@ -36,23 +36,20 @@ class QualityGateError(RuntimeError):
 class Check:
     """A check: aggregates it measures and how they turn into a report row.
 
-    `measures` maps names to aggregate columns; `outcome` gets the measured
-    columns by these names and the pass threshold.  `unique` names the column of
-    a uniqueness check, which is measured by grouping instead.
+    `measures` maps names to aggregate columns, `constants` to columns that need no
+    aggregation; `outcome` gets both by these names and the pass threshold.
+    `unique` names the column of a uniqueness check, measured by grouping instead.
     """
 
     label: str
     description: str
     outcome: object
     measures: dict[str, Column] = field(default_factory=dict)
+    constants: dict[str, Column] = field(default_factory=dict)
     unique: str | None = None
     threshold: float | None = None
 
 
-def _rounded(rate: Column) -> Column:
-    return rounded(rate, 4)
-
-
 def _verdict(passes: Column) -> Column:
     return F.when(passes, "PASS").otherwise("FAIL")
 
@@ -64,7 +61,7 @@ def _by_threshold(measured: dict[str, Column], threshold: float) -> dict[str, Co
         "total": total,
         "passed": total - failed,
         "failed": failed,
-        "pass_rate": _rounded(rate),
+        "rate": rate,
         "status": _verdict(rate >= threshold),
     }
 
@@ -113,7 +110,7 @@ def flag_rate(column: str, flag: str, max_rate: float, description: str) -> Chec
             "total": total,
             "passed": F.when(exceeded, 0).otherwise(total - flagged),
             "failed": F.when(exceeded, flagged).otherwise(0),
-            "pass_rate": _rounded(1 - rate),
+            "rate": 1 - rate,
             "status": _verdict(~exceeded),
         }
 
@@ -129,7 +126,7 @@ def column_present(df: DataFrame, column: str, description: str) -> Check:
             "total": F.lit(1),
             "passed": F.lit(int(present)),
             "failed": F.lit(int(not present)),
-            "pass_rate": F.lit(float(present)),
+            "rate": F.lit(float(present)),
             "status": _verdict(F.lit(present)),
         }
 
@@ -146,7 +143,7 @@ def min_row_count(minimum: int, description: str) -> Check:
             "total": total,
             "passed": F.when(enough, total).otherwise(0),
             "failed": F.when(enough, 0).otherwise(minimum - total),
-            "pass_rate": F.when(enough, 1.0).otherwise(_rounded(total / minimum)),
+            "rate": F.when(enough, 1.0).otherwise(total / minimum),
             "status": _verdict(enough),
         }
 
@@ -155,10 +152,10 @@ def min_row_count(minimum: int, description: str) -> Check:
 
 def ghost_rate(ghosts: DataFrame | None, description: str, limit: float = GHOST_LIMIT) -> Check:
     """Ghosts as a share of ghosts and golden rows together."""
-    ghost_count = F.lit(0) if ghosts is None else ghosts.agg(F.count("*")).scalar()
+    counted = F.lit(0) if ghosts is None else ghosts.agg(F.count("*")).scalar()
 
     def outcome(measured, _threshold):
-        golden = measured["golden"]
+        golden, ghost_count = measured["golden"], measured["ghosts"]
         total = golden + ghost_count
         rate = F.when(total > 0, ghost_count / total).otherwise(F.lit(0.0))
         breached = rate >= limit
@@ -166,11 +163,14 @@ def ghost_rate(ghosts: DataFrame | None, description: str, limit: float = GHOST_
             "total": total,
             "passed": F.when(breached, 0).otherwise(golden),
             "failed": F.when(breached, ghost_count).otherwise(0),
-            "pass_rate": _rounded(1 - rate),
+            "rate": 1 - rate,
             "status": _verdict(~breached),
         }
 
-    return Check("GHOST RATE: payroll vs HRIS", description, outcome, {"golden": F.count("*")})
+    return Check(
+        "GHOST RATE: payroll vs HRIS", description, outcome,
+        {"golden": F.count("*")}, {"ghosts": counted},
+    )
 
 
 def _report_row(position: int, check: Check, measured: dict[str, Column], threshold: float):
@@ -180,7 +180,7 @@ def _report_row(position: int, check: Check, measured: dict[str, Column], thresh
         F.lit(check.label).alias("check"),
         F.lit(check.description).alias("description"),
         *[outcome[name].cast("bigint").alias(name) for name in ("total", "passed", "failed")],
-        outcome["pass_rate"].cast("double").alias("pass_rate"),
+        outcome["rate"].cast("double").alias("rate"),
         outcome["status"].alias("status"),
     )
 
@@ -211,11 +211,12 @@ def quality_report(
         measures = [
             column.alias(f"m{i}_{name}") for i, c in plain for name, column in c.measures.items()
         ] or [F.count("*")]
-        rows = [
-            _report_row(i, c, {name: F.col(f"m{i}_{name}") for name in c.measures}, threshold)
-            for i, c in plain
-        ]
-        frames.append(df.agg(*measures).select(F.inline(F.array(*rows))))
+        constants = {f"m{i}_{name}": column for i, c in plain for name, column in c.constants.items()}
+        rows = []
+        for i, c in plain:
+            names = (*c.measures, *c.constants)
+            rows.append(_report_row(i, c, {name: F.col(f"m{i}_{name}") for name in names}, threshold))
+        frames.append(df.agg(*measures).withColumns(constants).select(F.inline(F.array(*rows))))
     if uniques:
         columns = sorted({c.unique for _, c in uniques})
         rows = []
@@ -227,7 +228,8 @@ def quality_report(
     report = frames[0]
     for frame in frames[1:]:
         report = report.unionByName(frame)
-    return report
+    rate = rounded(F.col("rate"), 4).alias("pass_rate")
+    return report.select("position", *[rate if c == "pass_rate" else c for c in REPORT_COLUMNS])
 
 
 def standard_checks(golden: DataFrame, ghosts: DataFrame | None, as_of=None) -> list[Check]:
