@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.operators import dedup, linkage, reconcile
+from tributary.operators import dedup, linkage, reconcile, skew
 from tributary.operators.skew import hot_keys, skew_join
 from tributary.plans.deduplicate import deduplicate, fuzzy_step
 
@@ -108,6 +108,22 @@ def test_skew_join_spreads_equal_copies(spark):
     assert skew_join(rows, lookup, ["k"], max_keys=20, min_rows=10).count() == 400
 
 
+def test_skew_join_without_hot_keys_is_plain(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, i int")
+    lookup = spark.createDataFrame([("a", 7)], "k string, v int")
+    assert [tuple(r) for r in skew_join(rows, lookup, ["k"], "i").collect()] == [("a", 1, 7)]
+    plan = skew_join(rows, lookup, ["k"], "i")._jdf.queryExecution().executedPlan().toString()
+    assert "_slice" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_group_join(spark, rows_of, monkeypatch, limit):
+    monkeypatch.setattr(skew, "MAX_SMALL_ROWS", limit)
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4)], "k string, i int")
+    groups = spark.createDataFrame([("a", 7), ("b", 8)], "k string, v int")
+    assert rows_of(skew.group_join(rows, groups, ["k"]), "k", "i", "v") == [("a", 1, 7), ("b", 2, 8), ("b", 3, 8)]
+
+
 # --- linkage against a comparison of all pairs ------------------------------
 
 NAMES = "id string, name string, last string, date date, ord long, source string"
