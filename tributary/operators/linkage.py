@@ -22,6 +22,8 @@ Every step is exact: the result equals that of comparing all pairs in a block.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +42,11 @@ from tributary.functions.text import block_key, token_sorted
 from tributary.operators.skew import skew_join
 from tributary.staging import stage
 
-CUTOFF_STEPS = (94, 88)  # tried after equal names and before the final cutoff
-_DENSE_FROM = 100_000    # fewer right names than this go straight to the final cutoff
+CUTOFF_STEPS = (100, 94, 88)  # tried before the final cutoff; 100 stands for equal names
+_DENSE_FROM = 100_000  # fewer right names than this go straight to the final cutoff
 
-_CHARACTER_BINS = 256    # characters are counted by code point modulo this
-_OCCURRENCE_BITS = 20    # room for the running number of a repeated character
+_CHARACTER_BINS = 256  # characters are counted by code point modulo this
+_OCCURRENCE_BITS = 20  # room for the running number of a repeated character
 # characters per signature by the total length of a pair: the longer the names, the
 # more combinations a prefix has; beyond the last limit single characters are used
 _SIGNATURE_SIZES = ((40, 3), (80, 2))
@@ -110,6 +112,12 @@ def _character_ranks(keys: DataFrame) -> list[int]:
     return ranks
 
 
+def _computed_once(sql: str) -> Column:
+    """The value as the only row of an explode, which Spark does not copy into later
+    expressions; inside a lambda a copy would be computed for every element."""
+    return F.explode(F.array(F.expr(sql)))
+
+
 def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
     """Adds the length of `key`, its characters as ascending numbers, and a bit set.
 
@@ -134,10 +142,10 @@ def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
     bit = f"(shiftright(e, {_OCCURRENCE_BITS}) + 29 * (e & {(1 << _OCCURRENCE_BITS) - 1})) % 64"
     bits = f"aggregate(elements, 0L, (set, e) -> set | shiftleft(1L, int({bit})))"
     return (
-        keys.withColumn("_bins", F.expr(bins))
-        .withColumn("_first", F.expr(first_place))
-        .withColumns({"length": F.size("_bins"), "elements": F.expr(elements)})
-        .withColumn("bits", F.expr(bits))
+        keys.withColumn("_bins", _computed_once(bins))
+        .withColumn("_first", _computed_once(first_place))
+        .withColumn("elements", _computed_once(elements))
+        .withColumns({"length": F.size("elements"), "bits": F.expr(bits)})
         .drop("_bins", "_first")
     )
 
@@ -253,37 +261,36 @@ def best_candidates(
         .withColumn("first_ord", F.get("members", F.lit(0))["ord"])
     )
     members = stage(members, "linkage-right")
+    if steps is None:
+        steps = CUTOFF_STEPS if members.count() >= _DENSE_FROM else ()
     ranks = _character_ranks(members)
     # names are few bytes but multiply in the next step, so they go to all cores
     cores = left.sparkSession.sparkContext.defaultParallelism
-    names = members.select("block", "key", "first_ord")
-    targets = with_elements(names.repartition(cores, "block", "key"), ranks)
-    targets = stage(targets, "linkage-right")
-    names = left.where("name != ''").select("block", "key").distinct()
-    wanted = with_elements(names.repartition(cores, "block", "key"), ranks)
+    targets = members.select("block", "key", "first_ord").repartition(cores, "block", "key")
+    targets = stage(with_elements(targets, ranks), "linkage-right")
+    wanted = left.where("name != ''").select("block", "key").distinct()
+    wanted = with_elements(wanted.repartition(cores, "block", "key"), ranks)
     wanted = stage(wanted, "linkage-left")
 
-    equal = (
-        wanted.select("block", "key")
-        .join(members.select("block", "key", "first_ord"), ["block", "key"])
-        .select("*", F.col("key").alias("right_key"), F.lit(100.0).alias("score"))
-    )
-    found = _best(equal, members, limit)
+    def equal_names(names: DataFrame) -> DataFrame:
+        same = names.select("block", "key").join(
+            members.select("block", "key", "first_ord"), ["block", "key"]
+        )
+        return same.select("*", F.col("key").alias("right_key"), F.lit(100.0).alias("score"))
+
     finished = []
-    if steps is None:
-        steps = CUTOFF_STEPS if targets.count() >= _DENSE_FROM else ()
     for step in (*steps, cutoff):
-        found = stage(found, "linkage-found")
-        full = found.where(F.size("candidates") >= limit)
-        finished.append(full)
-        wanted = wanted.join(full.select("block", "key"), ["block", "key"], "left_anti")
-        near = similar_pairs(wanted, targets, step)
-        blank = equal.where("key = ''").join(wanted, ["block", "key"], "left_semi")
-        found = _best(near.unionByName(blank), members, limit)
-    everything = stage(found, "linkage-found")
-    for full in finished:
-        everything = everything.unionByName(full)
-    return everything
+        if step == 100:
+            pairs = equal_names(wanted)
+        else:  # empty names have no characters to meet on
+            blank = equal_names(wanted.where("length = 0"))
+            pairs = similar_pairs(wanted, targets, step).unionByName(blank)
+        found = stage(_best(pairs, members, limit), "linkage-found")
+        if step != cutoff:
+            found = found.where(F.size("candidates") >= limit)
+            wanted = wanted.join(found.select("block", "key"), ["block", "key"], "left_anti")
+        finished.append(found)
+    return reduce(DataFrame.unionByName, finished)
 
 
 def linked_rows(
