@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import secret_scan, sharding
+from tributary.llm import packing, secret_scan, sharding, zip_archives
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,9 +19,19 @@ def op8_guess_cost(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, folder, "documents"))
 
 
+def op9_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
+def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return zip_archives.archive_pages(spark, _table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
     "op8_guess_cost": op8_guess_cost,
+    "op9_vector_packing": op9_vector_packing,
+    "op10_zip_archives": op10_zip_archives,
 }
 
 ORACLES: dict[str, str] = {}
