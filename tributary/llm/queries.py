@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import odd_sketches, packing, secret_scan, sharding, zip_archives
+from tributary.llm import odd_sketches, packing, rule_ensemble, secret_scan, sharding, zip_archives
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op6_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return odd_sketches.near_duplicates(_table(spark, folder, "documents"), words=4)
 
 
+def op7_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_ensemble.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_guess_cost(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, folder, "documents"))
 
@@ -34,6 +38,7 @@ def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
     "op6_odd_sketches": op6_odd_sketches,
+    "op7_rule_ensemble": op7_rule_ensemble,
     "op8_guess_cost": op8_guess_cost,
     "op9_vector_packing": op9_vector_packing,
     "op10_zip_archives": op10_zip_archives,
