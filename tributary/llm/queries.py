@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import odd_sketches, packing, rule_ensemble, secret_scan, sharding, zip_archives
+from tributary.llm import latent_search, odd_sketches, packing, rule_ensemble, secret_scan, sharding, zip_archives
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"))
 
 
+def op5_latent_search(spark: SparkSession, folder: str) -> DataFrame:
+    return latent_search.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op6_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return odd_sketches.near_duplicates(_table(spark, folder, "documents"), words=4)
 
@@ -37,6 +41,7 @@ def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
+    "op5_latent_search": op5_latent_search,
     "op6_odd_sketches": op6_odd_sketches,
     "op7_rule_ensemble": op7_rule_ensemble,
     "op8_guess_cost": op8_guess_cost,
