@@ -3,8 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import latent_search, odd_sketches, packing, rule_ensemble, secret_scan, sharding, zip_archives
+from tributary.llm import (
+    latent_search,
+    license_scan,
+    odd_sketches,
+    packing,
+    permutation_index,
+    rule_ensemble,
+    secret_scan,
+    sharding,
+    zip_archives,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +26,14 @@ def op1_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"))
 
 
+def op2_license_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.find_notices(_table(spark, folder, "documents"))
+
+
+def op3_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_latent_search(spark: SparkSession, folder: str) -> DataFrame:
     return latent_search.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -41,6 +60,8 @@ def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
+    "op2_license_windows": op2_license_windows,
+    "op3_permutation_index": op3_permutation_index,
     "op5_latent_search": op5_latent_search,
     "op6_odd_sketches": op6_odd_sketches,
     "op7_rule_ensemble": op7_rule_ensemble,
