@@ -10,6 +10,7 @@ from tributary.llm import (
     license_scan,
     odd_sketches,
     packing,
+    page_templates,
     permutation_index,
     rule_ensemble,
     secret_scan,
@@ -34,6 +35,10 @@ def op3_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
     return permutation_index.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op4_page_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return page_templates.extract_articles(_table(spark, folder, "pages"))
+
+
 def op5_latent_search(spark: SparkSession, folder: str) -> DataFrame:
     return latent_search.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
     "op2_license_windows": op2_license_windows,
     "op3_permutation_index": op3_permutation_index,
+    "op4_page_templates": op4_page_templates,
     "op5_latent_search": op5_latent_search,
     "op6_odd_sketches": op6_odd_sketches,
     "op7_rule_ensemble": op7_rule_ensemble,
