@@ -50,7 +50,9 @@ _CLOSED_BY = {"p": frozenset(BLOCKS - {"body", "html", "head", "caption", "td",
               "tr": frozenset({"tr", "tbody", "tfoot"}), "td": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
               "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}), "head": frozenset({"body"})}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>|\Z)""", re.DOTALL)
+# A tag ends at the first > outside quotes or, if quotes are left open, at any; the last may be cut off with the page.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""",
+                  re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 
 
@@ -100,11 +102,11 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
         if name is None:
             continue
         name = name.lower()
-        if not found[4]:  # the page ends inside a tag
+        if not found[3].endswith(">"):  # the page ends inside a tag
             break
         closing = bool(found[1])
         if name in RAW and not closing:
-            if found[3].endswith("/") and name in ("svg", "math"):
+            if found[3].endswith("/>") and name in ("svg", "math"):
                 continue
             ends = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = ends.end() if ends else len(page)

@@ -139,7 +139,9 @@ def directory(file: pa.NativeFile) -> dict[str, tuple[int, int, int]]:
     tail_at = max(0, size - 65_557)  # the end record and the longest comment
     tail = file.read_at(size - tail_at, tail_at)
     end = tail.rfind(_END)
-    if end < 0 or len(tail) - end < 22:
+    while end >= 0 and (len(tail) - end < 22 or struct.unpack_from("<H", tail, end + 20)[0] != len(tail) - end - 22):
+        end = tail.rfind(_END, 0, end)  # the comment may hold the same bytes
+    if end < 0:
         raise ValueError("not a ZIP package")
     length, begin = struct.unpack_from("<II", tail, end + 12)
     entries = struct.unpack_from("<H", tail, end + 10)[0]
