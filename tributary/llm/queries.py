@@ -76,4 +76,59 @@ QUERIES = {
     "op10_zip_archives": op10_zip_archives,
 }
 
-ORACLES: dict[str, str] = {}
+_NOTICES = ", ".join(f"('{name}', '{notice}')" for name, notice in license_scan.NOTICES)
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES: dict[str, str] = {
+    "op2_license_windows": f"""
+        WITH cut AS (
+            SELECT * FROM (
+                SELECT doc_id, NULL AS license, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words
+                FROM documents
+                UNION ALL
+                SELECT NULL, license, list_filter(regexp_split_to_array(lower(notice), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')
+                FROM (VALUES {_NOTICES}) AS given(license, notice))
+            WHERE len(words) >= 3),
+        shingled AS (
+            SELECT doc_id, license, len(words) AS length,
+                list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS shingles
+            FROM cut),
+        notices AS (
+            SELECT license, list_distinct(shingles) AS needed, CAST(2 ** greatest(1, ceil(log2(length))) AS BIGINT) AS longest
+            FROM shingled WHERE license IS NOT NULL),
+        windows AS (
+            SELECT doc_id, notices.license, begin_at, len(list_intersect(needed, list_distinct(
+                shingles[begin_at + 1:begin_at + 2 * longest - 2]))) / len(needed) AS share
+            FROM (SELECT s.doc_id, s.shingles, n.license, n.needed, n.longest, unnest(range(0, len(s.shingles), n.longest)) AS begin_at
+                  FROM shingled AS s, notices AS n WHERE s.license IS NULL) AS notices)
+        SELECT doc_id, license, CAST(min(begin_at) AS INTEGER) AS first_word, count(*) AS n_windows, max(share) AS containment
+        FROM windows WHERE share >= 0.8 GROUP BY doc_id, license""",
+    "op6_odd_sketches": f"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+            FROM cut),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b USING (shingle)
+            JOIN sizes AS x ON x.doc_id = a.doc_id JOIN sizes AS y ON y.doc_id = b.doc_id
+            WHERE a.doc_id <> b.doc_id AND least(x.n, y.n) * 100 >= 80 * greatest(x.n, y.n)
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reached AS (SELECT doc_id AS node, doc_id AS other FROM documents
+                    UNION SELECT node, links.b FROM reached JOIN links ON links.a = other)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
+        FROM documents AS d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) USING (doc_id)""",
+    "op10_zip_archives": """
+        WITH payloads AS (SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+        firsts AS (SELECT digest, min(page_id) AS first_id FROM payloads GROUP BY digest)
+        SELECT page_id, payload_bytes, url,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(1 + (CAST('0x' || substr(digest, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS payload_digest,
+            CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id > first_id THEN first_id END AS refers_to
+        FROM payloads JOIN firsts USING (digest)""",
+}
