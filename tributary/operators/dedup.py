@@ -37,7 +37,7 @@ def shared_key_rows(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
         keyed.where(F.col("_key").isNotNull())
         .groupBy("_key").agg(F.count("*").alias("_size")).where("_size > 1").select("_key")
     )
-    return skew_join(keyed, shared, ["_key"], order, "left_semi").drop("_key")
+    return skew_join(keyed, shared, ["_key"], "left_semi").drop("_key")
 
 
 def source_priority(source: Column, priorities: dict = SOURCE_PRIORITY) -> Column:
@@ -95,7 +95,7 @@ def priority_edges(
         .where("_size > 1")
         .select("_key", "_keeper")
     )
-    dropped = skew_join(ranked, keepers, ["_key"], "_ord").where(
+    dropped = skew_join(ranked, keepers, ["_key"]).where(
         F.col("_ord") != F.col("_keeper._ord")
     )
     return dropped.select(

@@ -6,6 +6,8 @@ the block were the join key.  Instead names meet on signatures:
 * Names are reduced to distinct (block, token-sorted name) first.
 * score >= cutoff means LCS >= need(total length), and the characters two names
   share, counted with repetitions, are at least as many as their LCS.
+* Only names of certain lengths can be partners.  A name emits its signatures for
+  each of these lengths, and both lengths are part of the key on which names meet.
 * Sort the characters of each name by one global order, rare ones first.  If two
   names share `need` characters, their first `size` shared ones lie within the
   first `length - need + size` of either (prefix filter; Wang, Li and Feng 2012
@@ -42,8 +44,7 @@ from tributary.functions.text import block_key, token_sorted
 from tributary.operators.skew import skew_join
 from tributary.staging import stage
 
-CUTOFF_STEPS = (100, 94, 88)  # tried before the final cutoff; 100 stands for equal names
-_DENSE_FROM = 100_000  # fewer right names than this go straight to the final cutoff
+CUTOFF_STEPS = (100, 88)  # tried before the final cutoff; 100 stands for equal names
 
 _CHARACTER_BINS = 256  # characters are counted by code point modulo this
 _OCCURRENCE_BITS = 20  # room for the running number of a repeated character
@@ -85,10 +86,8 @@ def _signature_size(total: str, cutoff: int) -> str:
 
 
 def _combinations(places: str, size: int) -> str:
-    """SQL: all ascending combinations of the entries (e: element, p: place) of an array,
-    each with the number of places up to its last element."""
-    elements = ", ".join(f"x{level}.e" for level in range(1, size + 1))
-    sql = f"struct(array({elements}) as combo, x{size}.p + 1 as place)"
+    """SQL: all ascending combinations of the entries (e: element, p: place) of an array."""
+    sql = f"array({', '.join(f'x{level}.e' for level in range(1, size + 1))})"
     for level in range(size, 0, -1):
         entries = places if level == 1 else f"slice({places}, x{level - 1}.p + 2, size({places}))"
         sql = f"transform({entries}, x{level} -> {sql})"
@@ -150,29 +149,36 @@ def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
     )
 
 
-def _signatures(keys: DataFrame, cutoff: int) -> DataFrame:
-    """One row per name and combination that a partner within the cutoff can share."""
+def _signatures(keys: DataFrame, cutoff: int, side: str) -> DataFrame:
+    """One row per name, length of a partner within the cutoff, and combination they can share."""
     shortest = f"int(({cutoff} * length + {199 - cutoff}) div {200 - cutoff})"
     longest = f"int({200 - cutoff} * length div {cutoff})"
-    rows = keys.where("length > 0").withColumn(
-        "_totals", F.expr(f"sequence(length + {shortest}, length + {longest})")
+    rows = (
+        keys.where("length > 0")
+        .withColumn("_partner", F.explode(F.expr(f"sequence({shortest}, {longest})")))
+        .withColumn("_need", F.expr(_needed("length + _partner", cutoff)))
+        .withColumn("_size", F.expr(_signature_size("length + _partner", cutoff)))
+        .withColumn(
+            "_places",
+            _computed_once("transform(slice(elements, 1, length - _need + _size), (e, p) -> struct(e, p))"),
+        )
     )
     sizes = range(1, 1 + max(size for _, size in _SIGNATURE_SIZES))
-    for size in sizes:
-        smallest = f"array_min(filter(_totals, t -> {_signature_size('t', cutoff)} = {size}))"
-        prefix = f"length - {_needed(smallest, cutoff)} + {size}"
-        rows = rows.withColumn(
-            f"_places_{size}",
-            F.expr(f"transform(slice(elements, 1, {prefix}), (e, p) -> struct(e, p))"),
-        )
-    every = ", ".join(f"coalesce({_combinations(f'_places_{size}', size)}, array())" for size in sizes)
+    cases = " ".join(f"when {size} then {_combinations('_places', size)}" for size in sizes)
+    lengths = ("length", "_partner") if side == "left" else ("_partner", "length")
     return (
-        rows.withColumn("signature", F.explode(F.expr(f"concat({every})")))
-        .drop("_totals", *[f"_places_{size}" for size in sizes])
-        .withColumn("meeting", F.xxhash64("block", "signature.combo"))
+        rows.withColumn("combo", F.explode(F.expr(f"case _size {cases} end")))
+        .withColumn("meeting", F.xxhash64("block", *lengths, "combo"))
+        .drop("_partner", "_need", "_size", "_places")
     )
 
 
+def meetings(left: DataFrame, right: DataFrame, cutoff: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Signatures of both sides as a and b, and the condition on which they meet."""
+    a, b = _signatures(left, cutoff, "left").alias("a"), _signatures(right, cutoff, "right").alias("b")
+    return a, b, F.expr("a.meeting = b.meeting")
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     """Pairs of distinct names of one block whose score reaches the cutoff.
 
@@ -182,22 +188,19 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     """
     own = ("block", "key", "length", "elements", "bits")
     others = [c for c in right.columns if c not in own]
-    a, b = _signatures(left, cutoff).alias("a"), _signatures(right, cutoff).alias("b")
+    a, b, same = meetings(left, right, cutoff)
     total = "a.length + b.length"
-    need, size = _needed(total, cutoff), "size(a.signature.combo)"
+    need, size = _needed(total, cutoff), "size(a.combo)"
     shared = "array_intersect(a.elements, b.elements)"
     met = a.join(  # conditions are tested in this order, cheap ones first
         b.hint("merge"),
-        F.expr(
-            f"""a.meeting = b.meeting and a.block = b.block
+        same & F.expr(
+            f"""a.block = b.block
             and a.length - bit_count(a.bits & ~b.bits) >= {need}
             and b.length - bit_count(b.bits & ~a.bits) >= {need}
-            and a.signature.place <= a.length - {need} + {size}
-            and b.signature.place <= b.length - {need} + {size}
-            and {size} = {_signature_size(total, cutoff)}
             and size({shared}) >= {need}
-            and slice({shared}, 1, {size}) = a.signature.combo
-            and a.signature.combo = b.signature.combo"""
+            and slice({shared}, 1, {size}) = a.combo
+            and a.combo = b.combo"""
         ),
     )
     measured = met.select(
@@ -243,12 +246,11 @@ def best_candidates(
     right: DataFrame,
     cutoff: int = CANDIDATE_SCORE,
     limit: int = CANDIDATE_LIMIT,
-    steps: tuple[int, ...] | None = None,
+    steps: tuple[int, ...] = CUTOFF_STEPS,
 ) -> DataFrame:
     """Per distinct left name (block, key) its best right rows as an ordered array.
 
-    `steps` are the cutoffs tried before the final one; without it they depend on
-    the number of right names, because few names cannot crowd any neighbourhood.
+    `steps` are the cutoffs tried before the final one.
     """
     per_name = Window.partitionBy("block", "key").orderBy("ord")
     members = (
@@ -261,8 +263,6 @@ def best_candidates(
         .withColumn("first_ord", F.get("members", F.lit(0))["ord"])
     )
     members = stage(members, "linkage-right")
-    if steps is None:
-        steps = CUTOFF_STEPS if members.count() >= _DENSE_FROM else ()
     ranks = _character_ranks(members)
     # names are few bytes but multiply in the next step, so they go to all cores
     cores = left.sparkSession.sparkContext.defaultParallelism
@@ -308,7 +308,7 @@ def linked_rows(
     """
     found = best_candidates(left, right, cutoff, limit)
     named = left.where("name != ''")
-    rows = skew_join(named, found, ["block", "key"], "ord")
+    rows = skew_join(named, found, ["block", "key"])
     candidates = F.transform(
         "candidates",
         lambda c: F.struct(

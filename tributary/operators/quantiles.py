@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.fixed_values import HISTOGRAM_BINS
-from tributary.operators.skew import group_join
+from tributary.operators.skew import skew_join
 
 _ACCURACY = 100_000          # the sketch is off by at most rows / _ACCURACY ranks
 _MARGIN = 10 / _ACCURACY     # half width of the bracket, as a share of the rows
@@ -61,7 +61,7 @@ def exact_quantiles(
     )
     counts = rows.groupBy(*keys, "_value").agg(F.count("*").alias("_rows"))
     if keys:
-        matched = group_join(counts, brackets, keys, "_value")
+        matched = skew_join(counts, brackets, keys)
     else:
         whole = brackets.select(F.struct("n", "_brackets")).scalar()
         matched = counts.withColumn("_whole", whole).select("_value", "_rows", "_whole.*")
@@ -109,7 +109,7 @@ def box_statistics(df: DataFrame, value: str, group: str, reach: float = 1.5) ->
     quartiles = exact_quantiles(rows, value, [0.25, 0.5, 0.75], (group,))
     span = (F.col("q2") - F.col("q0")) * reach
     fences = quartiles.withColumns({"_low": F.col("q0") - span, "_high": F.col("q2") + span})
-    measured = group_join(rows, fences, [group])
+    measured = skew_join(rows, fences, [group])
     within = F.col(value).between(F.col("_low"), F.col("_high"))
     return (
         measured.groupBy(group, "n", "q0", "q1", "q2")
@@ -135,7 +135,7 @@ def box_outliers(df: DataFrame, value: str, group: str, boxes: DataFrame) -> Dat
     rows = df.select(group, F.col(value).cast("double").alias(value)).dropna()
     ends = boxes.select(group, "whisker_low", "whisker_high")
     beyond = ~F.col(value).between(F.col("whisker_low"), F.col("whisker_high"))
-    return group_join(rows, ends, [group]).where(beyond).select(group, value)
+    return skew_join(rows, ends, [group]).where(beyond).select(group, value)
 
 
 def histogram(df: DataFrame, value: str, bins: int = HISTOGRAM_BINS) -> DataFrame:

@@ -12,15 +12,13 @@ def ghosts(
     payroll: DataFrame,
     golden: DataFrame,
     key: str = "employee_id",
-    spread: str | None = None,
 ) -> DataFrame:
     """Payroll rows whose id is not in the golden table; a null id is not either.
 
-    Copies of a row are all kept.  Ids repeated very often are split over tasks
-    by the hash of `spread`.
+    Copies of a row are all kept.
     """
     ids = golden.select(key).where(F.col(key).isNotNull()).distinct()
-    return skew_join(payroll, ids, [key], spread, "left_anti")
+    return skew_join(payroll, ids, [key], "left_anti")
 
 
 def merged_ghosts(ghost_rows: DataFrame, edges: DataFrame, key: str = "employee_id") -> DataFrame:

@@ -1,107 +1,37 @@
-"""Equi-joins that split hot keys.
+"""Equi-joins whose hot keys adaptive execution can split.
 
-Adaptive execution splits a skewed partition only where both inputs of a join
-come straight from a shuffle, which an aggregated lookup does not.  Here the
-few keys that hold far more rows than a fair share are measured first and
-spread over as many slices as they hold fair shares.
+It splits a skewed partition only where both inputs of a join come straight from
+the join's own shuffles. An aggregated lookup does not: it already lies by its
+keys and is not shuffled again. Joining on a struct of the keys, which Spark does
+not take for that arrangement, gives both inputs shuffles of the join. Nothing is
+measured beforehand and no job starts while the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.text import conjunction
-from tributary.staging import stage
-
-MAX_HOT_KEYS = 10_000   # bound of what is broadcast: keys above 1/10,000 of all rows
-MIN_HOT_ROWS = 100_000  # below this a key fits into any task
-MAX_SMALL_ROWS = 10_000  # tables of one row per group up to this size are broadcast
-
-
-def hot_keys(
-    rows: DataFrame,
-    keys: list[str],
-    max_keys: int = MAX_HOT_KEYS,
-    min_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """Hash and number of slices of the keys that need splitting.
-
-    A key is listed if it holds more than 1/max_keys of all rows, so the result
-    has at most max_keys rows of two numbers, whatever the size of the input.
-    """
-    counts = rows.groupBy(F.xxhash64(*keys).alias("_key_hash")).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    fair_share = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
-    return (
-        counts.withColumn("_share", fair_share)
-        .where(F.col("_rows") > F.col("_share"))
-        .select("_key_hash", F.ceil(F.col("_rows") / F.col("_share")).cast("int").alias("_slices"))
-    )
 
 
 def skew_join(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
-    spread: Column | str | None = None,
     how: str = "inner",
     null_safe: bool = False,
-    max_keys: int = MAX_HOT_KEYS,
-    min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Join `rows` to `lookup` on equally named keys.
 
-    One pass over the keys of `rows` finds the hot ones; without any it is a plain
-    join.  Otherwise rows of a hot key go to slices by the hash of `spread`, a
-    column that tells rows apart, and the lookup rows of that key are repeated once
-    per slice.  Without such a column the input partition and the whole row decide,
-    so that even equal copies of a row are spread, and a repeated task makes the
-    same choice.  `how` may be any join type that keeps or drops rows of the left
-    side.
+    `how` may be any join type that keeps or drops rows of the left side.  With
+    `null_safe` null keys match each other, otherwise they match nothing.
     """
     others = [name for name in lookup.columns if name not in keys]
     kept = rows.columns if how in ("left_semi", "left_anti") else [*rows.columns, *others]
-    renamed = {name: f"_lookup_{name}" for name in keys}
-    same = [
-        F.col(name).eqNullSafe(F.col(other)) if null_safe else F.col(name) == F.col(other)
-        for name, other in renamed.items()
-    ]
-    found = hot_keys(rows, keys, max_keys, min_rows).collect()  # at most max_keys rows
-    if not found:
-        plain = rows.join(lookup.withColumnsRenamed(renamed), conjunction(same), how)
-        return plain.select(*kept)
-
-    hot = F.broadcast(rows.sparkSession.createDataFrame(found, "_key_hash bigint, _slices int"))
-    slice_count = F.coalesce("_slices", F.lit(1))
-    if spread is None:
-        spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
-    left = (
-        rows.withColumn("_key_hash", F.xxhash64(*keys))
-        .join(hot, "_key_hash", "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(spread), slice_count).cast("int"))
-        .drop("_key_hash", "_slices")
-    )
-    right = (
-        lookup.withColumn("_key_hash", F.xxhash64(*keys))
-        .join(hot, "_key_hash", "left")
-        .withColumn("_lookup_slice", F.explode(F.sequence(F.lit(0), slice_count - 1)))
-        .drop("_key_hash", "_slices")
-        .withColumnsRenamed(renamed)
-    )
-    split = conjunction([*same, F.col("_slice") == F.col("_lookup_slice")])
-    return left.join(right, split, how).select(*kept)
-
-
-def group_join(
-    rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column | str | None = None
-) -> DataFrame:
-    """Inner join of `rows` to a table of one row per group.
-
-    The table is written once and counted: up to MAX_SMALL_ROWS rows it is
-    broadcast and `rows` need no shuffle, beyond that hot groups are split.
-    """
-    table = stage(groups, "groups")
-    if table.count() <= MAX_SMALL_ROWS:
-        return rows.join(F.broadcast(table), keys)
-    return skew_join(rows, table, keys, spread)
+    joined = F.struct(*keys)
+    if not null_safe:
+        joined = F.when(conjunction([F.col(name).isNotNull() for name in keys]), joined)
+    left = rows.withColumn("_left_key", joined)
+    right = lookup.withColumn("_right_key", joined).drop(*keys)
+    return left.join(right, F.col("_left_key") == F.col("_right_key"), how).select(*kept)

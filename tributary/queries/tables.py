@@ -347,7 +347,7 @@ def _order_ghosts(spark, folder):
     customers = _read(spark, folder, "customer").where("c_acctbal > 0").select(
         F.col("c_custkey").alias("employee_id")
     )
-    return reconcile.ghosts(orders, customers, spread="o_orderkey"), orders
+    return reconcile.ghosts(orders, customers), orders
 
 
 def ghosts(spark, folder):
@@ -513,6 +513,25 @@ def csv_roundtrip(spark, folder):
         F.col("doc_id").cast("bigint"), F.md5("text").alias("text_md5"), "lang", "source")
 
 
+def csv_mixed_headers(spark, folder):
+    """Files of one folder whose columns stand in different orders or are partly absent."""
+    path = staging_path(spark, "csv")
+    documents = _read(spark, folder, "documents")
+    layouts = {"en": ["doc_id", "text", "lang"], "de": ["lang", "doc_id", "text"],
+               "fr": ["text", "lang", "doc_id"], "es": ["text", "doc_id"]}
+    for lang, columns in layouts.items():
+        documents.where(F.col("lang") == lang).select(*columns).write.csv(
+            f"{path}/{lang}", header=True, quote='"', escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    read = readers.read_delimited(spark, f"{path}/*", "documents", ["doc_id", "text", "lang"])
+    rows = read.rows.select(
+        F.col("doc_id").cast("bigint"), F.md5("text").alias("text_md5"), "lang", "source")
+    issues = read.schema_issues.select(
+        F.lit(-1).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text_md5"),
+        F.col("column").alias("lang"), "source")
+    return rows.unionAll(issues)
+
+
 def csv_dead_letters(spark, folder):
     """Orders as lines, some with a field too many; kept and dead ones counted."""
     path = staging_path(spark, "csv")
@@ -609,7 +628,7 @@ ALL = [
     url_review, golden_provenance, match_edges, removed_by_step, stage_summary, ghosts, ghost_rate,
     ghost_export, quality_report, standard_report, quality_gate, all_passed, check_labels,
     quality_page, value_counts, top15, distinct_count, distinct_labels, box_stats, box_outliers,
-    tenure_hist, median_tenure, tenure_years, enrollment_rate, csv_roundtrip, csv_dead_letters,
+    tenure_hist, median_tenure, tenure_years, enrollment_rate, csv_roundtrip, csv_mixed_headers, csv_dead_letters,
     json_roundtrip, xml_roundtrip, xlsx_roundtrip, golden_roundtrip,
 ]
 
