@@ -57,6 +57,20 @@ def test_delimited_order_over_several_files(spark, tmp_path):
     assert {r.column for r in read.schema_issues.collect()} == set(ROSTER_COLUMNS) - {"employee_id", "first_name"}
 
 
+def test_delimited_files_with_different_headers(spark, tmp_path):
+    write(tmp_path / "a 1.csv", "employee_id,first_name,last_name\n1,Ann,Lee\n")
+    write(tmp_path / "b.csv", "last_name,employee_id,first_name\nKay,2,Bob\n")
+    write(tmp_path / "c.csv", '"first_name",employee_id\n"Cy\nrus",3\n4,5,6\n')
+    write(tmp_path / "d.csv", "")
+    read = readers.read_delimited(spark, str(tmp_path), expected=["employee_id", "first_name", "last_name"])
+    rows = read.rows.orderBy("_ord").select("employee_id", "first_name", "last_name").collect()
+    assert [tuple(r) for r in rows] == [("1", "Ann", "Lee"), ("2", "Bob", "Kay"), ("3", "Cy\nrus", None)]
+    assert [(l[1], l[2]) for l in letters(read)] == [("more fields than the header", "4,5,6")]
+    assert [r.column for r in read.schema_issues.collect()] == ["last_name"]
+    empty = readers.read_delimited(spark, str(tmp_path / "d.csv"))
+    assert empty.rows.count() == 0 and [l[1] for l in letters(empty)] == ["NO_HEADER"]
+
+
 def people(count, **changes):
     person = {
         "employee_identifier": "ACQ_00001", "name": {"first": "Ann", "last": "Lee"},

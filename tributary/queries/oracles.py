@@ -408,6 +408,8 @@ ORACLES = {
         AS enrollment_rate, 80 AS target FROM customer GROUP BY 1""",
     "csv_roundtrip": """SELECT doc_id, md5(text) AS text_md5, nullif(lang, 'de') AS lang, 'documents' AS source
         FROM documents""",
+    "csv_mixed_headers": """SELECT doc_id, md5(text) AS text_md5, nullif(lang, 'es') AS lang, 'documents' AS source
+        FROM documents UNION ALL SELECT -1, NULL, 'lang', 'documents'""",
     "csv_dead_letters": """SELECT CASE WHEN o_orderstatus = 'P' THEN 'more fields than the header' ELSE 'kept' END
         AS outcome, count(*) AS count FROM orders GROUP BY 1 UNION ALL SELECT 'no column o_clerk', 1""",
     "json_roundtrip": """SELECT turn, CASE role WHEN 'user' THEN 'U' WHEN 'assistant' THEN 'A' END AS said_role,

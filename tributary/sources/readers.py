@@ -8,6 +8,7 @@ frame and a dead letter, so that a job goes on with its other sources.
 from __future__ import annotations
 
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,7 +68,7 @@ def _dead(rows: DataFrame, tag: str, reason: Column, record: Column) -> DataFram
 
 
 def _unreadable(spark, tag, path, error, columns, with_order) -> SourceRead:
-    reason = error.getCondition() or "UNREADABLE"
+    reason = error if isinstance(error, str) else error.getCondition() or "UNREADABLE"
     letter = spark.createDataFrame([(tag, str(path), reason, None)], DEAD_LETTERS)
     rows = tag_source(empty_frame(spark, [c for c in columns if c != "source"]), tag)
     if with_order:
@@ -76,6 +77,31 @@ def _unreadable(spark, tag, path, error, columns, with_order) -> SourceRead:
     return SourceRead(rows, letter, spark.createDataFrame([], SCHEMA_ISSUES))
 
 
+def _files_by_header(spark: SparkSession, path: str, options: dict) -> list[tuple[list[str], list[str]]]:
+    """Column names and the files that begin with them, for all files under `path`.
+
+    One pass over the lines keeps the first of each file; one file is looked at directly.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    files = lines.inputFiles()
+    if len(files) <= 1:
+        return [(spark.read.options(**options).csv(path).columns, [path])]
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        file = unquote(row.file)
+        cut = row.line.count('"') % 2  # the names go on in the next line
+        groups.setdefault(file if cut else row.line, []).append(file)
+    by_names: dict[tuple[str, ...], list[str]] = {}
+    for members in groups.values():
+        names = tuple(spark.read.options(**options).csv(members[0]).columns)
+        by_names.setdefault(names, []).extend(members)
+    return [(list(names), members) for names, members in by_names.items()]
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -87,15 +113,42 @@ def read_delimited(
 ) -> SourceRead:
     """CSV with a header, all columns as text, NA tokens as null.
 
-    Short records are filled with nulls; records with more fields than the
-    header are dead letters.  Set `multi_line=False` for files without line
-    breaks inside quotes: Spark can then split large files.
+    Files of a folder may have their columns in different orders, or lack some:
+    each is read by its own header, and what it lacks is null.  Short records are
+    filled with nulls; records with more fields than the header are dead letters.
+    Set `multi_line=False` for files without line breaks inside quotes: Spark can
+    then split large files.
     """
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
     try:
-        header = spark.read.options(**options).csv(path).columns
+        groups = _files_by_header(spark, path, options)
     except AnalysisException as error:
         return _unreadable(spark, tag, path, error, expected, True)
+    groups = [(header, files) for header, files in groups if header]
+    if not groups:
+        return _unreadable(spark, tag, path, "NO_HEADER", expected, True)
+    reads = [
+        _read_with_header(spark, files, header, tag, expected, source_rank, na_tokens, options)
+        for header, files in groups
+    ]
+    rows, letters, issues = reads[0]
+    for read in reads[1:]:
+        rows = rows.unionByName(read.rows, allowMissingColumns=True)
+        letters = letters.unionAll(read.dead_letters)
+        issues = issues.unionAll(read.schema_issues)
+    return SourceRead(rows, letters, issues.distinct())
+
+
+def _read_with_header(
+    spark: SparkSession,
+    files: list[str],
+    header: list[str],
+    tag: str,
+    expected: list[str],
+    source_rank: int,
+    na_tokens: list[str],
+    options: dict,
+) -> SourceRead:
     fields = ", ".join(f"`{name}` string" for name in [*header, "_broken"])
     # Spark marks records of any other length; the commas outside quotes tell long ones
     read = (
@@ -104,7 +157,7 @@ def read_delimited(
             **options, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken",
             emptyValue="", columnPruning=False,
         )
-        .csv(path)
+        .csv(files)
         .select(
             "*",
             F.col("_metadata.file_path").alias("_file"),
