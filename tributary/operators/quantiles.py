@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tributary.fixed_values import HISTOGRAM_BINS
 from tributary.operators.skew import skew_join
+from tributary.staging import stage
 
 _ACCURACY = 100_000          # the sketch is off by at most rows / _ACCURACY ranks
 _MARGIN = 10 / _ACCURACY     # half width of the bracket, as a share of the rows
@@ -32,7 +33,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles q0, q1, … and the row count n per group.
 
-    Null values and, where groups are given, null groups are left out.
+    Null values and, where groups are given, null groups are left out.  With
+    groups, their sketches are written at once, so that Spark knows their size
+    and broadcasts them if it is small.
     """
     keys = list(groups)
     rows = df.select(*keys, F.col(value).cast("double").alias("_value")).dropna()
@@ -59,18 +62,18 @@ def exact_quantiles(
             for index, p in enumerate(probabilities)
         ]).alias("_brackets"),
     )
-    counts = rows.groupBy(*keys, "_value").agg(F.count("*").alias("_rows"))
+    # Rows meet their brackets before any shuffle of theirs: what lies below becomes one count in each task
     if keys:
-        matched = skew_join(counts, brackets, keys)
+        matched = skew_join(rows, stage(brackets, "brackets"), keys)
     else:
         whole = brackets.select(F.struct("n", "_brackets")).scalar()
-        matched = counts.withColumn("_whole", whole).select("_value", "_rows", "_whole.*")
+        matched = rows.withColumn("_whole", whole).select("_value", "_whole.*")
     wanted = (*keys, "n", "index", "position")
     inside = (
-        matched.select(*keys, "n", "_value", "_rows", F.inline("_brackets"))
+        matched.select(*keys, "n", "_value", F.inline("_brackets"))
         .where(F.col("_value") <= F.col("high"))
         .withColumn("_value", F.when(F.col("_value") >= F.col("low"), F.col("_value")))
-        .groupBy(*wanted, "_value").agg(F.sum("_rows").alias("_rows"))
+        .groupBy(*wanted, "_value").agg(F.count("*").alias("_rows"))
     )
     running = Window.partitionBy(*wanted).orderBy(F.asc_nulls_first("_value"))
     ranked = inside.withColumn(
@@ -109,7 +112,7 @@ def box_statistics(df: DataFrame, value: str, group: str, reach: float = 1.5) ->
     quartiles = exact_quantiles(rows, value, [0.25, 0.5, 0.75], (group,))
     span = (F.col("q2") - F.col("q0")) * reach
     fences = quartiles.withColumns({"_low": F.col("q0") - span, "_high": F.col("q2") + span})
-    measured = skew_join(rows, fences, [group])
+    measured = skew_join(rows, stage(fences, "fences"), [group])
     within = F.col(value).between(F.col("_low"), F.col("_high"))
     return (
         measured.groupBy(group, "n", "q0", "q1", "q2")

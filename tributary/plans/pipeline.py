@@ -43,11 +43,20 @@ class PipelineResult(NamedTuple):
 
 
 def read_inputs(
-    spark: SparkSession, roster_csv: str, roster_json: str, payroll_xlsx: str, benefits_xml: str
+    spark: SparkSession,
+    roster_csv: str,
+    roster_json: str,
+    payroll_xlsx: str,
+    benefits_xml: str,
+    csv_multi_line: bool = True,
+    json_multi_line: bool = True,
 ) -> Inputs:
-    """Both rosters conformed and stacked; payroll and benefits as they are."""
-    first = read_delimited(spark, roster_csv)
-    second = read_nested(spark, roster_json)
+    """Both rosters conformed and stacked; payroll and benefits as they are.
+
+    The flags go to the readers: without them large files can be split.
+    """
+    first = read_delimited(spark, roster_csv, multi_line=csv_multi_line)
+    second = read_nested(spark, roster_json, multi_line=json_multi_line)
     payroll = read_workbooks(spark, payroll_xlsx)
     benefits = read_tagged(spark, benefits_xml)
     roster = stack([
@@ -69,6 +78,7 @@ def chart_feeds(golden, payroll, benefits, report, as_of=None) -> dict[str, Data
         "headcount_by_department": charts.headcount_by_department(golden),
         "headcount_by_country": charts.headcount_by_country(golden),
         "salary_by_employment_type": charts.salary_by_employment_type(golden, payroll),
+        "salary_outliers": charts.salary_outliers(golden, payroll),
         "tenure_distribution": charts.tenure_distribution(golden, as_of),
         "median_tenure": charts.median_tenure(golden, as_of),
         "enrollment_by_department": charts.enrollment_by_department(golden, benefits),
@@ -85,6 +95,8 @@ def run_pipeline(
     folder: str,
     as_of=None,
     max_failures: int = MAX_FAILED_CHECKS,
+    csv_multi_line: bool = True,
+    json_multi_line: bool = True,
 ) -> PipelineResult:
     """Run everything and write the deliverables to `folder`.
 
@@ -92,7 +104,9 @@ def run_pipeline(
     charts and exports.
     """
     started = time.monotonic()
-    inputs = read_inputs(spark, roster_csv, roster_json, payroll_xlsx, benefits_xml)
+    inputs = read_inputs(
+        spark, roster_csv, roster_json, payroll_xlsx, benefits_xml, csv_multi_line, json_multi_line
+    )
     roster = stage(clean_roster(inputs.roster, as_of), "roster")
     payroll = stage(clean_payroll(inputs.payroll), "payroll")
     benefits = clean_benefits(inputs.benefits)
