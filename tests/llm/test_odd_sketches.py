@@ -94,12 +94,12 @@ def test_components_equal_brute_force(spark):
 def test_odd_rows(odd_documents, no_documents):
     out = odd_sketches.near_duplicates(odd_documents).toPandas()
     known = out[out.doc_id.notna()].drop_duplicates().set_index("doc_id")
-    assert known.component_id.to_dict() == {**{i: i for i in range(9)}, 7: 6, 9: 9}
+    assert known.component_id.to_dict() == {**{i: i for i in range(9)}, 7: 6, 9: 8}
     assert known.n_shingles[:4].tolist() == [0, 0, 0, 1]
     assert len(out) == odd_documents.count() and out[out.doc_id.isna()].component_id.isna().all() and out[out.doc_id.isna()].kept.all()
     kept = odd_sketches.keep_one_each(odd_documents)
     assert kept.schema == odd_documents.schema
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [0, 1, 2, 3, 4, 5, 6, 8, 9, None, None]))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [0, 1, 2, 3, 4, 5, 6, 8, None, None]))
     assert odd_sketches.near_duplicates(no_documents).count() == 0
     assert odd_sketches.keep_one_each(no_documents).count() == 0
 
