@@ -31,18 +31,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
 
 
+def _chained(edges: DataFrame) -> bool:
+    """Whether edges are not yet stars, each node with one edge to the smallest of its component."""
+    sides = edges.select(F.col("u").alias("node"), F.lit(1).alias("side"), F.col("v").alias("to")).union(
+        edges.select(F.col("v").alias("node"), F.lit(2).alias("side"), F.lit(None).cast("long").alias("to")))
+    nodes = sides.groupBy("node").agg(F.bit_or("side").alias("sides"), F.min("to").alias("low"), F.max("to").alias("high"))
+    return bool(nodes.filter("sides = 3 OR low < high OR node < low").take(1))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """`node` and its `component`, the smallest node that can be reached; one row for each node of a proper edge.
 
     Loops, repeated edges and edges with a null end add nothing.
     """
     current = stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct(), "edges")
-    mark = None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark:
-            break
-        mark = state
+    while _chained(current):
         current = stage(_small_star(_large_star(current)), "edges")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -1,13 +1,13 @@
 """Near-duplicate documents by MinHash bands and odd sketches.
 
-A document is the set of its word shingles. 128 MinHash samples give 32 bands
-of four for candidates; the same samples, folded into a bitmap by parity, give
-the odd sketch, whose XOR with another counts the samples that differ and so
-tells high similarities apart from low ones at 32 bytes a document. What
-remains is confirmed on the full sets.
+A document is the set of its word shingles. Of 256 MinHash samples the first
+half give 32 bands of four for candidates; all of them, folded into a bitmap by
+parity, give the odd sketch, whose XOR with another counts the samples that
+differ and so tells high similarities apart from low ones at 64 bytes a
+document. What remains is confirmed on the full sets.
 
 A pair at similarity 0.8 shares no band with probability 5e-8, and is refused
-by its sketches with less than 1e-6.
+by its sketches with about 1e-5, one above with less.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ from tributary.llm.words import mix, shingle_set, text_blocks, words_of
 from tributary.staging import stage
 
 BANDS, BAND_ROWS = 32, 4
-SAMPLES = BANDS * BAND_ROWS
-SKETCH_BITS = 256
-#: Pairs whose sketches tell of less similarity are not compared in full: five deviations below 0.8.
-LEAST_ESTIMATE = 0.5
+SAMPLES = 2 * BANDS * BAND_ROWS
+SKETCH_BITS = 512
+#: Pairs whose sketches tell of less similarity are not compared in full: over four deviations below 0.8.
+LEAST_ESTIMATE = 0.65
+#: Members of a bucket that a member still apart is compared with by sketch, and how many of them all in full.
+DELEGATES, NEAREST = 8, 4
 #: Members of a bucket that meet in one block.
 BLOCK = 1024
 
@@ -36,21 +38,21 @@ _generator = np.random.default_rng(20)
 _XOR = _generator.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
 _FACTOR = _generator.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
 _SALT = np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)
-_BAND_FACTOR = _generator.integers(0, 1 << 63, SAMPLES, dtype=np.uint64).reshape(BANDS, BAND_ROWS) * np.uint64(2) + np.uint64(1)
+_BAND_FACTOR = _generator.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64).reshape(BANDS, BAND_ROWS) * np.uint64(2) + np.uint64(1)
 
 _SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
 def min_hashes(shingles: np.ndarray) -> np.ndarray:
-    """128 MinHash samples of a non-empty set of 64-bit hashes."""
+    """The MinHash samples of a non-empty set of 64-bit hashes."""
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     return np.min([((short[i:i + 2048, None] ^ _XOR) * _FACTOR).min(axis=0) for i in range(0, len(short), 2048)], axis=0)
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band, different from band to band; `samples` has a row for each set."""
-    banded = samples.astype(np.uint64).reshape(len(samples), BANDS, BAND_ROWS)
-    return mix((mix(banded + _SALT.reshape(BANDS, BAND_ROWS)) * _BAND_FACTOR).sum(axis=2, dtype=np.uint64))
+    banded = samples[:, :BANDS * BAND_ROWS].astype(np.uint64).reshape(len(samples), BANDS, BAND_ROWS)
+    return mix((mix(banded + _SALT[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)) * _BAND_FACTOR).sum(axis=2, dtype=np.uint64))
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
@@ -102,21 +104,23 @@ def signatures(documents: DataFrame, words: int) -> DataFrame:
         sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{s} long" for s in _SKETCH))
 
 
+def _differing(left: str, right: str) -> F.Column:
+    return sum(F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in _SKETCH)
+
+
 def _alike(left: str, right: str, percent: int) -> F.Column:
     """Whether sizes and sketches allow the similarity."""
-    def col(side, name):
-        return F.col(f"{side}.{name}")
-    differing = sum(F.bit_count(col(left, s).bitwiseXOR(col(right, s))) for s in _SKETCH)
-    small, large = F.least(col(left, "n"), col(right, "n")), F.greatest(col(left, "n"), col(right, "n"))
-    return (small * 100 >= large * percent) & (differing <= most_differing_bits(LEAST_ESTIMATE))
+    small, large = F.least(f"{left}.n", f"{right}.n"), F.greatest(f"{left}.n", f"{right}.n")
+    return (small * 100 >= large * percent) & (_differing(left, right) <= most_differing_bits(LEAST_ESTIMATE))
+
 
+def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two tables that grow with the corpus: neither is sent to all tasks, whatever its size."""
+    return left.join(right.hint("merge"), on, how)
 
-def _confirm(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
-    pairs = stage(pairs, "near-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stage(documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi"), "near-texts")
 
+def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the similarity; `texts` has id and text."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, np.zeros(0, np.uint64)
         for batch in batches:
@@ -124,7 +128,7 @@ def _confirm(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -
             for first, block in text_blocks(batch.column("text_a")):
                 found = words_of(block)
                 for i in range(len(block)):
-                    if ids_b[first + i] != last or held is None:  # rows come in the order of b
+                    if ids_b[first + i] != last:  # rows come in the order of b
                         last = ids_b[first + i]
                         (_, other), = text_blocks(batch.column("text_b").slice(first + i, 1))
                         held = shingle_set(words_of(other).hash, words)
@@ -135,11 +139,45 @@ def _confirm(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -
                     keep[first + i] = 100 * common >= percent * (len(own) + len(held) - common)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
+    both = _join(_join(pairs, texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"),
+                 texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long"), "near-links")
 
 
+def _pair(left: str, right: str) -> list[F.Column]:
+    return [F.greatest(left, right).alias("a"), F.least(left, right).alias("b")]
+
+
+def _nearest_delegates(rest: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """For each member outside its leader's component, the delegates in other components whose sketches are nearest."""
+    own = F.struct("id", "n", "component", *_SKETCH)
+    slot = F.pmod(F.xxhash64("id", "band"), F.lit(DELEGATES))
+    delegates = rest.groupBy("band", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("id").alias("turn"), own.alias("own"))).alias("least"))
+    main = rest.filter("id = leader").select("band", F.col("component").alias("main"))
+    seeking = _join(rest, main, "band", "left").filter(~F.col("component").eqNullSafe(F.col("main")))
+    offered = (_join(seeking.select("band", own.alias("l")), delegates.select("band", F.col("least.own").alias("r")), "band")
+               .filter((F.col("l.component") != F.col("r.component")) & _alike("l", "r", percent))
+               .select("l.id", F.struct(_differing("l", "r").alias("differing"), F.col("r.id").alias("other")).alias("offer")))
+    best = offered.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("offer")), 1, NEAREST).alias("best"))
+    pairs = best.select("id", F.explode("best.other").alias("other")).select(*_pair("id", "other")).distinct()
+    return _join(pairs, tried, ["a", "b"], "left_anti")
+
+
+def _all_apart(rest: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket in different components, in blocks of members, but for those tried before."""
+    rest = (rest.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    own = F.struct("id", "n", "component", *_SKETCH)
+    left = rest.select("band", F.col("block").alias("i"), other.alias("j"), own.alias("l")).filter("j >= i")
+    right = rest.select("band", other.alias("i"), F.col("block").alias("j"), own.alias("r")).filter("i <= j")
+    pairs = (_join(left, right, ["band", "i", "j"])
+             .filter((F.col("l.component") != F.col("r.component")) & ((F.col("i") != F.col("j")) | (F.col("l.id") < F.col("r.id")))
+                     & _alike("l", "r", percent))
+             .select(*_pair("l.id", "r.id")).distinct())
+    return _join(pairs, tried, ["a", "b"], "left_anti")
+
+
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each document.
 
@@ -149,8 +187,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     component is null and it is kept. Repeated rows get the same result; rows of one doc_id with different texts follow
     their own text. Columns beside doc_id and text are not read; an empty table stays empty.
 
-    Equal sets are one class and compared once. In a bucket of a band, members are compared with the smallest one;
-    only members that this leaves in different components are compared with each other, in blocks.
+    Equal sets are one class and compared once. In a bucket of a band, members are compared with the smallest one.
+    Those that stay apart then try the delegates of their buckets that their sketch is nearest to; at last all members
+    of a bucket that are still in different components are compared with each other, in blocks.
     """
     documents = documents.select("doc_id", "text")
     signed = stage(signatures(documents, words), "signatures")
@@ -160,40 +199,34 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     sketches = classes.select("id", "n", *_SKETCH)
     banded = classes.select("id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("leader"), F.count("*").alias("members")).filter("members > 1")
-    members = stage(banded.join(buckets, "band"), "bucket-members")
-
-    stars = members.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    stars = stage(stars, "star-pairs")
-    likely = (stars.alias("p").join(sketches.alias("l"), F.col("p.a") == F.col("l.id"))
-              .join(sketches.alias("r"), F.col("p.b") == F.col("r.id")).filter(_alike("l", "r", percent))
-              .select("p.a", "p.b").distinct())
-    links = _confirm(likely, documents, words, percent)
-    found = stage(components(links), "components")
-
-    # Members of one bucket that are still apart, each against each, but for those that a star has tried.
-    placed = (members.join(found.withColumnRenamed("node", "id"), "id", "left")
-              .select("id", "band", "leader", "members", F.coalesce("component", "id").alias("component")))
-    placed = stage(placed, "placed-members")
-    apart = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = (placed.join(apart, "band", "left_semi").filter("id <> leader").join(sketches, "id")
-            .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .select("band", "id", "n", "component", "block", "blocks", *_SKETCH))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rest.withColumn("i", F.col("block")).withColumn("j", other).filter("j >= i")
-    right = rest.withColumn("j", F.col("block")).withColumn("i", other).filter("i <= j")
-    crossed = (left.alias("l").join(right.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.i") == F.col("r.i"))
-                                    & (F.col("l.j") == F.col("r.j")) & (F.col("l.component") != F.col("r.component"))
-                                    & ((F.col("l.i") != F.col("l.j")) | (F.col("l.id") < F.col("r.id"))) & _alike("l", "r", percent))
-               .select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
-               .join(stars, ["a", "b"], "left_anti"))
-    more = _confirm(crossed, documents, words, percent)
-    found = components(links.union(more))
-
-    named = classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "id").join(
-        found.withColumnRenamed("node", "id"), "id", "left").select(
+    members = stage(_join(banded, buckets, "band"), "bucket-members")
+
+    stars = stage(members.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "star-pairs")
+    likely = _join(_join(stars, sketches.select(F.col("id").alias("a"), F.struct("n", *_SKETCH).alias("l")), "a"),
+                   sketches.select(F.col("id").alias("b"), F.struct("n", *_SKETCH).alias("r")), "b")
+    likely = stage(likely.filter(_alike("l", "r", percent)).select("a", "b").distinct(), "near-pairs")
+    met = members.select("id").distinct()
+    texts = stage(_join(documents.select(F.col("doc_id").cast("long").alias("id"), "text"), met, "id", "left_semi"), "member-texts")
+    tried = stars
+    found = stage(components(_confirm(likely, texts, words, percent)), "components")
+    for candidates in (_nearest_delegates, _all_apart):
+        placed = _join(members, found.withColumnRenamed("node", "id"), "id", "left").select(
+            "id", "band", "leader", "members", F.coalesce("component", "id").alias("component"))
+        placed = stage(placed, "placed-members")
+        apart = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+        rest = stage(_join(_join(placed, apart, "band", "left_semi"), sketches, "id"), "members-apart")
+        pairs = stage(candidates(rest, tried, percent), "near-pairs")
+        if not pairs.take(1):
+            continue
+        more = _confirm(pairs, texts, words, percent)
+        tried = tried.union(pairs)
+        if more.take(1):  # the components found so far are stars already
+            found = stage(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components")
+
+    named = _join(classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "id"),
+                  found.withColumnRenamed("node", "id"), "id", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
-    result = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    result = _join(signed.select("doc_id", "n_shingles", "set_a", "set_b"), named, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
