@@ -1,9 +1,9 @@
 """Near-duplicate documents by MinHash bands and odd sketches.
 
-A document is the set of its word shingles. Of 256 MinHash samples the first
-half give 32 bands of four for candidates; all of them, folded into a bitmap by
-parity, give the odd sketch, whose XOR with another counts the samples that
-differ and so tells high similarities apart from low ones at 64 bytes a
+A document is the set of its word shingles. Of 512 MinHash samples the first
+quarter gives 32 bands of four for candidates; all of them, folded into a bitmap
+by parity, give the odd sketch, whose XOR with another counts the samples that
+differ and so tells high similarities apart from low ones at 128 bytes a
 document. What remains is confirmed on the full sets.
 
 A pair at similarity 0.8 shares no band with probability 5e-8, and is refused
@@ -25,10 +25,10 @@ from tributary.llm.words import mix, shingle_set, text_blocks, words_of
 from tributary.staging import stage
 
 BANDS, BAND_ROWS = 32, 4
-SAMPLES = 2 * BANDS * BAND_ROWS
-SKETCH_BITS = 512
+SAMPLES = 4 * BANDS * BAND_ROWS
+SKETCH_BITS = 1024
 #: Pairs whose sketches tell of less similarity are not compared in full: over four deviations below 0.8.
-LEAST_ESTIMATE = 0.65
+LEAST_ESTIMATE = 0.7
 #: Members of a bucket that a member still apart is compared with by sketch, and how many of them all in full.
 DELEGATES, NEAREST = 8, 4
 #: Members of a bucket that meet in one block.
@@ -168,12 +168,15 @@ def _all_apart(rest: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     rest = (rest.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = F.struct("id", "n", "component", *_SKETCH)
+    own = F.struct("id", "n", "component", "bands", *_SKETCH)
     left = rest.select("band", F.col("block").alias("i"), other.alias("j"), own.alias("l")).filter("j >= i")
     right = rest.select("band", other.alias("i"), F.col("block").alias("j"), own.alias("r")).filter("i <= j")
-    pairs = (_join(left, right, ["band", "i", "j"])
-             .filter((F.col("l.component") != F.col("r.component")) & ((F.col("i") != F.col("j")) | (F.col("l.id") < F.col("r.id")))
-                     & _alike("l", "r", percent))
+    # Two documents may share many bands; they meet in the least one alone.
+    least = F.array_min(F.array_intersect("l.bands", "r.bands")) == F.col("a.band")
+    apart = ((F.col("l.component") != F.col("r.component")) & ((F.col("a.i") != F.col("a.j")) | (F.col("l.id") < F.col("r.id")))
+             & _alike("l", "r", percent) & least)
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("band", "i", "j")]
+    pairs = (left.alias("a").join(right.hint("merge").alias("b"), same[0] & same[1] & same[2] & apart)
              .select(*_pair("l.id", "r.id")).distinct())
     return _join(pairs, tried, ["a", "b"], "left_anti")
 
@@ -196,7 +199,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     classes = stage(
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b", F.col("n_shingles").alias("n"))
         .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ["bands", *_SKETCH])), "classes")
-    sketches = classes.select("id", "n", *_SKETCH)
+    sketches = classes.select("id", "n", "bands", *_SKETCH)
     banded = classes.select("id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("leader"), F.count("*").alias("members")).filter("members > 1")
     members = stage(_join(banded, buckets, "band"), "bucket-members")
