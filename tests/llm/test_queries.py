@@ -23,7 +23,7 @@ def results(spark):
 def plain(rows):
     """Rows with null for any missing value and whole numbers as integers, in order."""
     def value(v):
-        if v is None or v != v or str(v) == "<NA>":
+        if v is None or str(v) in ("<NA>", "nan"):
             return None
         return int(v) if isinstance(v, (float, np.floating)) and v == int(v) else v.item() if isinstance(v, np.generic) else v
     return sorted(repr(tuple(map(value, row))) for row in rows.itertuples(index=False, name=None))
