@@ -56,3 +56,31 @@ def test_few_and_odd_vectors(spark):
     assert [tuple(r) for r in rows] == [(0, 1, 20, 4.0), (0, 2, 9, -1.0), (20, 1, 0, 4.0), (20, 2, 9, -2.0)]
     assert permutation_index.nearest(table.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
     assert permutation_index.nearest(table, F.col("vec_id") == 3).count() == 0
+
+
+def test_copies_neither_fill_the_reranked_share_nor_the_pivots(spark):
+    """A third of the rows are one vector, near which all others rank the copies first."""
+    draw = np.random.default_rng(3)
+    centre = draw.standard_normal(32)
+    vectors = draw.standard_normal((3000, 32)) + centre
+    vectors[draw.permutation(3000)[:1000]] = centre + 0.3 * draw.standard_normal(32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = vectors.astype(np.float32).astype(float)
+    ids = list(range(3000))
+    got, expected = search(spark, ids, vectors), plain(ids, vectors)
+    assert got.keys() == expected.keys()
+    recall = [np.mean([score >= expected[i][-1][0] for score, _ in got[i]]) for i in expected]
+    assert np.mean(recall) >= 0.9
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    draw = np.random.default_rng(4)
+    vectors = draw.standard_normal((300, 8)).astype(np.float32).astype(float)
+    ids = [i % 60 for i in range(300)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in permutation_index.nearest(table, F.col("vec_id") == 0, block=100).collect():
+        got[r.vec_id] = r.score
+    scores = {j: max((vectors[q] * vectors[i]).sum() for q in range(0, 300, 60) for i in range(j, 300, 60)) for j in range(1, 60)}
+    best = sorted(scores, key=lambda j: (-scores[j], j))[:20]
+    assert got == {j: scores[j] for j in best}
