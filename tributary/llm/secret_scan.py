@@ -109,7 +109,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def guess_spans(text: str, base: list[tuple[int, int, int]], ranks: dict[str, int], longest: int,
                 least: float) -> list[tuple[int, int, int]]:
-    """Values in credential contexts that cost at least 10**least guesses and that no base span touches."""
+    """Values in credential contexts that cost at least 10**least guesses, but for those that base spans hold as a whole.
+
+    A value that a base span holds in part, because it goes on with other characters, is scored and given as a whole.
+    """
     low = text.lower()
     if not any(hint in low for hint in HINTS):
         return []
@@ -117,7 +120,11 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], ranks: dict[str, in
     for match in CONTEXT.finditer(text):
         start, value = match.start(1), match[1].rstrip(".!?)]}")
         end = start + len(value)
-        if all(end <= s or e <= start for s, _, e in base) and guess_cost(value, ranks, longest) >= least:
+        held = start
+        for s, _, e in base:  # in order of their starts
+            if s <= held < e:
+                held = e
+        if held < end and guess_cost(value, ranks, longest) >= least:
             found.append((start, 3, end))
     return found
 
