@@ -33,6 +33,43 @@ def test_exact_and_changed_passages_are_found_and_clean_ones_left(spark):
     assert kept == set(range(200)) - {i for i, _ in expected}
 
 
+def test_replaced_rare_words_hide_no_item(spark):
+    """The rarest fifth of the words, or the rarest 35 % before the answer, are other ones; the rest stands in order."""
+    common = sorted(set(words(77, 60).split()))
+    items, docs, expected = [], [(1000 + i, " ".join(random.Random(i).choices(common, k=300))) for i in range(150)], set()
+    for i in range(12):
+        draw, n = random.Random(500 + i), 34 + 2 * i
+        rare = {k: f"rare{i}x{k}" for k in draw.sample(range(n * 3 // 4), n // 3)}
+        item = [rare.get(k) or draw.choice(common) for k in range(n)]
+        items.append((i, " ".join(item)))
+        for kind, lost in enumerate((n // 5, n // 3)):
+            gone = set(sorted(rare)[:lost])
+            passage = [f"new{i}x{k}" if k in gone else w for k, w in enumerate(item)]
+            docs.append((2 * i + kind, " ".join(draw.choices(common, k=90) + passage + draw.choices(common, k=70))))
+            expected.add((2 * i + kind, i))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = latent_search.find_leaks(table, spark.createDataFrame(items, "item_id long, text string")).toPandas()
+    assert expected <= set(zip(found.doc_id, found.item_id, strict=True))
+
+
+@given(st.lists(st.lists(st.integers(0, 9), min_size=1, max_size=20), min_size=1, max_size=4), st.lists(st.integers(0, 9), min_size=1, max_size=150),
+       st.lists(st.integers(0, 50), min_size=10, max_size=10))
+def test_the_screen_refuses_no_passage_that_could_be_confirmed(items, text, frequency):
+    vocabulary = np.arange(10, dtype=np.uint64)
+    items, text = [np.array(i, np.uint64) for i in items], np.array(text, np.uint64)
+    screen = latent_search._screen(items, vocabulary, np.array(frequency))
+    assert (screen.needed > 0).all()
+    block = latent_search.Block(64, [], items, [], vocabulary, None, None, screen)
+    place = np.flatnonzero(np.isin(text, screen.terms))
+    pairs = {(k, i) for keys, own in latent_search._screened(block, np.zeros(len(place), np.int64), place, np.searchsorted(screen.terms, text[place]))
+             for k, i in zip(keys.tolist(), own.tolist(), strict=True)}
+    for index in range(len(text) // 32 + 1):
+        begin = max(0, index * 32 - 16)
+        for i, item in enumerate(items):
+            if latent_search.common_subsequence(item, text[begin:begin + 96]) / len(item) >= latent_search.LCS_LIKELY:
+                assert (index, i) in pairs
+
+
 def test_the_answer_decides_where_the_order_does_not(spark):
     item = words(1, 30).split()
     likely = item[:15] + [words(50 + k, 1) for k in range(8)] + item[23:]  # 22 of 30 words, with the answer

@@ -5,12 +5,16 @@ its terms, weighed by document frequencies of the whole corpus. Passages of the
 corpus that resemble an item, and the items themselves, are the rows of a TF-IDF
 matrix whose leading right singular vectors come from a distributed randomised
 SVD. Overlapping windows of every document are compared with the items by cosine
-in that space; candidates are confirmed by the longest common subsequence of
-words and, where that is not conclusive, by the words of the answer.
+in that space. A paraphrase may replace just the rare words, so passages that
+hold enough of an item's other words are candidates as well, whatever their
+cosine: no passage with LCS_LIKELY of an item in order is refused. Candidates are
+confirmed by the longest common subsequence of words and, where that is not
+conclusive, by the words of the answer.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,12 +34,25 @@ OVERSAMPLE = 64
 PASS_ITEMS = 4096
 #: Rarest words of an item that are terms.
 ITEM_TERMS = 10
+#: Share of an item's words, rarest first, that are counted in passages; above 1 - LCS_LIKELY, so that some must be held.
+SCREENED = 0.7
 #: Cosine from which a passage is a row of the matrix, and from which a window is a candidate.
 PASSAGE_COSINE, CANDIDATE_COSINE = 0.4, 0.4
 #: Share of an item's words, in order, that proves it, and the share that does so together with the answer.
 LCS_SURE, LCS_LIKELY, ANSWER_SHARE = 0.8, 0.6, 0.5
 
 
+@dataclass
+class Screen:
+    """Counted words of a block's items, by ascending hash; items that have each, how often, and how many a passage needs."""
+
+    terms: np.ndarray
+    starts: np.ndarray
+    items: np.ndarray
+    counts: np.ndarray
+    needed: np.ndarray
+
+
 @dataclass
 class Block:
     """Items of one length class with their terms, by ascending word hash. A window is twice the longest item or more."""
@@ -47,6 +64,7 @@ class Block:
     terms: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
+    screen: Screen
     basis: np.ndarray | None = None
     latent: np.ndarray | None = None
 
@@ -106,15 +124,68 @@ def _windows(block: Block, row: np.ndarray, place: np.ndarray, term: np.ndarray,
     return Sparse(window[own[starts]], starts, columns, _normed(values, starts))
 
 
+def _screen(words: list[np.ndarray], vocabulary: np.ndarray, frequency: np.ndarray) -> Screen:
+    """The rarest words of each item up to SCREENED of its length.
+
+    A passage with LCS_LIKELY of an item in order lacks at most the rest of its words, so it holds all counted ones but
+    for as many.
+    """
+    places, items, counts, needed = [], [], [], []
+    for number, own in enumerate(words):
+        at, times = np.unique(np.searchsorted(vocabulary, own), return_counts=True)
+        order = np.argsort(frequency[at], kind="stable")
+        last = 1 + int(np.searchsorted(np.cumsum(times[order]), math.ceil(SCREENED * len(own))))
+        chosen = order[:last]
+        places.append(at[chosen])
+        items.append(np.full(len(chosen), number))
+        counts.append(times[chosen])
+        least = next(m for m in range(len(own) + 1) if m / len(own) >= LCS_LIKELY)
+        needed.append(times[chosen].sum() - (len(own) - least))
+    place, item, count = np.concatenate(places), np.concatenate(items), np.concatenate(counts)
+    order = np.lexsort((item, place))
+    terms, starts = np.unique(place[order], return_index=True)
+    return Screen(vocabulary[terms], np.append(starts, len(order)), item[order], count[order], np.array(needed))
+
+
+def _screened(block: Block, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows, keys as in Sparse, and items whose counted words the passage around the window holds in sufficient number."""
+    half, screen = block.window // 2, block.screen
+    number = (place + block.window // 4) // half
+    # A passage reaches over three halves, the first one begins with the text.
+    parts = [(row[ok], number[ok] - back, term[ok]) for back in range(3) for ok in [number >= back]]
+    early = (number == 3) & (place < 3 * half)
+    parts.append((row[early], number[early] - 3, term[early]))
+    row, number, term = (np.concatenate(p) for p in zip(*parts, strict=True))
+    if not len(term):
+        return
+    window, inverse = np.unique(row.astype(np.int64) * (np.int64(1) << 31) + number, return_inverse=True)
+    cells = np.unique(inverse.astype(np.int64) * len(screen.terms) + term)
+    own, term = cells // len(screen.terms), cells % len(screen.terms)
+    sizes = np.diff(screen.starts)[term]
+    begins = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+    total = np.append(0, np.cumsum(sizes))[begins]
+    n, first = len(screen.needed), 0
+    while first < len(window):
+        last = min(first + 4096, max(first + 1, int(np.searchsorted(total, total[first] + (1 << 21), "right")) - 1))
+        part = slice(begins[first], begins[last])
+        length = sizes[part]
+        posted = np.repeat(screen.starts[term[part]] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        pair = np.repeat((own[part] - first) * n, length) + screen.items[posted]
+        held = np.bincount(pair, weights=screen.counts[posted], minlength=(last - first) * n).reshape(-1, n)
+        windows, items = np.nonzero(held >= screen.needed)
+        yield window[first + windows], items
+        first = last
+
+
 class Vocabulary:
-    """Finds the terms of all blocks among the words of a batch."""
+    """Finds the terms of all blocks, or the counted words, among the words of a batch."""
 
-    def __init__(self, blocks: list[Block]):
-        self.hashes = np.unique(np.concatenate([b.terms for b in blocks]))
+    def __init__(self, terms: list[np.ndarray]):
+        self.hashes = np.unique(np.concatenate(terms))
         self.local = []
-        for block in blocks:
+        for own in terms:
             local = np.full(len(self.hashes), -1, np.int64)
-            local[np.searchsorted(self.hashes, block.terms)] = np.arange(len(block.terms))
+            local[np.searchsorted(self.hashes, own)] = np.arange(len(own))
             self.local.append(local)
 
     def occurrences(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -205,13 +276,14 @@ def build_blocks(items: pd.DataFrame, documents: DataFrame) -> list[Block]:
             vectors = (np.log1p(vectors) * idf[terms]).astype(np.float32)
             vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
             blocks.append(Block(window, [items.item_id.iloc[i] for i in own], [words[i] for i in own],
-                                [np.unique(answers[i]) for i in own], vocabulary[terms], idf[terms].astype(np.float32), vectors))
+                                [np.unique(answers[i]) for i in own], vocabulary[terms], idf[terms].astype(np.float32), vectors,
+                                _screen([words[i] for i in own], vocabulary, frequency)))
     return blocks
 
 
 def _passages(documents: DataFrame, blocks: list[Block]) -> DataFrame:
     """Rows of the blocks' matrices: passages weighed by their cosine with the nearest item."""
-    vocabulary = Vocabulary(blocks)
+    vocabulary = Vocabulary([b.terms for b in blocks])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,28 +371,41 @@ def fit_latent(documents: DataFrame, blocks: list[Block], rounds: int = 2) -> No
                 block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
 
-def _search(column: pa.Array, blocks: list[Block], vocabulary: Vocabulary) -> Iterator[tuple[int, int, int, int, float, float]]:
+def _search(column: pa.Array, blocks: list[Block], vocabulary: Vocabulary, counted: Vocabulary) -> Iterator[tuple[int, int, int, int, float, float]]:
     """(row, block, item, first word, cosine, share of the item's words found in order) of all confirmed pairs."""
     for first, texts in text_blocks(column):
         words = words_of(texts, ALPHANUMERIC)
-        for number, (block, found) in enumerate(zip(blocks, vocabulary.occurrences(words), strict=True)):
-            rows = _windows(block, *found, overlap=True)
-            if rows is None:
-                continue
-            near = rows.times(block.basis) @ block.latent.T
+        found = zip(blocks, vocabulary.occurrences(words), counted.occurrences(words), strict=True)
+        for number, (block, terms, screened) in enumerate(found):
             best: dict[tuple[int, int], tuple[int, float, float]] = {}
-            for window, item in zip(*np.nonzero(near >= CANDIDATE_COSINE), strict=True):
-                row, index = divmod(int(rows.keys[window]), 1 << 31)
+            tried: set[tuple[int, int]] = set()
+
+            def confirm(key: int, item: int, cosine: float, block=block, best=best, tried=tried) -> None:
+                tried.add((key, item))
+                row, index = divmod(key, 1 << 31)
                 own = words.hash[words.starts[row]:words.starts[row + 1]]
                 begin = max(0, index * (block.window // 2) - block.window // 4)
                 passage = own[begin:begin + block.window * 3 // 2]
                 target = block.words[item]
                 share = common_subsequence(target, passage) / len(target)
                 if share < LCS_LIKELY or share < LCS_SURE and np.isin(block.answers[item], passage).mean() < ANSWER_SHARE:
-                    continue
-                held = best.get((row, int(item)))
+                    return
+                held = best.get((row, item))
                 if held is None or share > held[2]:
-                    best[row, int(item)] = begin, float(near[window, item]), share
+                    best[row, item] = begin, cosine, share
+
+            rows = _windows(block, *terms, overlap=True)
+            near = None
+            if rows is not None:
+                near = rows.times(block.basis) @ block.latent.T
+                for window, item in zip(*np.nonzero(near >= CANDIDATE_COSINE), strict=True):
+                    confirm(int(rows.keys[window]), int(item), float(near[window, item]))
+            for keys, items in _screened(block, *screened):
+                for key, item in zip(keys.tolist(), items.tolist(), strict=True):
+                    if (key, item) not in tried:
+                        at = int(np.searchsorted(rows.keys, key)) if rows is not None else 0
+                        known = rows is not None and at < len(rows.keys) and rows.keys[at] == key
+                        confirm(key, item, float(near[at, item]) if known else 0.0)
             for (row, item), (begin, cosine, share) in sorted(best.items()):
                 yield first + row, number, item, begin, cosine, share
 
@@ -350,9 +435,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         fit_latent(documents, blocks)
 
         def search(batches: Iterator[pa.RecordBatch], blocks=blocks) -> Iterator[pa.RecordBatch]:
-            vocabulary = Vocabulary(blocks)
+            vocabulary, counted = Vocabulary([b.terms for b in blocks]), Vocabulary([b.screen.terms for b in blocks])
             for batch in batches:
-                found = list(_search(batch.column("text"), blocks, vocabulary))
+                found = list(_search(batch.column("text"), blocks, vocabulary, counted))
                 ids = [blocks[b].ids[i] for _, b, i, *_ in found]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())),
@@ -373,11 +458,11 @@ def remove_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         fit_latent(documents, blocks)
 
         def clean(batches: Iterator[pa.RecordBatch], blocks=blocks) -> Iterator[pa.RecordBatch]:
-            vocabulary = Vocabulary(blocks)
+            vocabulary, counted = Vocabulary([b.terms for b in blocks]), Vocabulary([b.screen.terms for b in blocks])
             for batch in batches:
                 at = batch.schema.get_field_index("text")
                 keep = np.ones(len(batch), bool)
-                keep[[f[0] for f in _search(batch.column(at), blocks, vocabulary)]] = False
+                keep[[f[0] for f in _search(batch.column(at), blocks, vocabulary, counted)]] = False
                 yield batch.filter(pa.array(keep))
 
         documents = documents.mapInArrow(clean, documents.schema)
