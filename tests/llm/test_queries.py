@@ -32,14 +32,14 @@ def plain(rows):
 def test_all_are_registered():
     names = set(entry_points.queries())
     assert {*QUERIES, "pipeline"} <= names and set(ORACLES) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_dedup", "decontamination", "secret_scans", "packing"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(results, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     wanted = connection.execute(ORACLES[name]).df()
     got = results[name][list(wanted.columns)]

@@ -12,6 +12,7 @@ from tributary.llm import (
     packing,
     page_templates,
     permutation_index,
+    prefix_trie,
     rule_ensemble,
     secret_scan,
     sharding,
@@ -63,6 +64,10 @@ def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
     return zip_archives.archive_pages(spark, _table(spark, folder, "pages"))
 
 
+def op13_splitter_skeleton(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_sampled_splitters": op1_sampled_splitters,
     "op2_license_windows": op2_license_windows,
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_guess_cost": op8_guess_cost,
     "op9_vector_packing": op9_vector_packing,
     "op10_zip_archives": op10_zip_archives,
+    "op13_splitter_skeleton": op13_splitter_skeleton,
 }
 
 _NOTICES = ", ".join(f"('{name}', '{notice}')" for name, notice in license_scan.NOTICES)
@@ -131,4 +137,32 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id > first_id THEN first_id END AS refers_to
         FROM payloads JOIN firsts USING (digest)""",
+    "op13_splitter_skeleton": """
+        WITH paths AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS path
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        heads AS (
+            SELECT conv_id, path, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce([4294967295::BIGINT]
+                    || list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+                lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                    lambda x, skip: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+            FROM paths),
+        rebuilt AS (
+            SELECT own.conv_id, coalesce(list_slice(first.path, 1, h), []) || list_slice(own.path, h + 1, len(own.path)) AS path
+            FROM heads AS own LEFT JOIN paths AS first ON first.conv_id = base),
+        nodes AS (
+            SELECT depth, list_slice(path, 1, depth) AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+                coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '') AS ends
+            FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt) GROUP BY ALL),
+        children AS (SELECT depth - 1 AS depth, list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        own AS (
+            SELECT nodes.*, coalesce(n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(prefix[depth].text) ELSE 0 END AS saved
+            FROM nodes LEFT JOIN children USING (depth, prefix)),
+        subtrees AS (
+            SELECT upto AS depth, list_slice(prefix, 1, upto) AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+            FROM (SELECT prefix, n_children, saved, unnest(range(0, depth + 1)) AS upto FROM own) GROUP BY ALL)
+        SELECT own.conv_id, own.depth, parent.conv_id AS parent_conv_id, own.n_convs, own.n_children,
+            CAST(subtrees.n_leaves AS BIGINT) AS n_leaves, CAST(subtrees.saved AS BIGINT) AS saved_tokens, sha256(own.ends) AS ends_sha256
+        FROM own JOIN subtrees USING (depth, prefix)
+        LEFT JOIN own AS parent ON parent.depth = own.depth - 1 AND parent.prefix = list_slice(own.prefix, 1, own.depth - 1)""",
 }
