@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import (
+    dynamic_itemsets,
     latent_search,
     license_scan,
     odd_sketches,
@@ -64,6 +65,10 @@ def op10_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
     return zip_archives.archive_pages(spark, _table(spark, folder, "pages"))
 
 
+def op11_dynamic_itemsets(spark: SparkSession, folder: str) -> DataFrame:
+    return dynamic_itemsets.collocations(_table(spark, folder, "documents"))
+
+
 def op13_splitter_skeleton(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_guess_cost": op8_guess_cost,
     "op9_vector_packing": op9_vector_packing,
     "op10_zip_archives": op10_zip_archives,
+    "op11_dynamic_itemsets": op11_dynamic_itemsets,
     "op13_splitter_skeleton": op13_splitter_skeleton,
 }
 
@@ -137,6 +143,29 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id > first_id THEN first_id END AS refers_to
         FROM payloads JOIN firsts USING (digest)""",
+    "op11_dynamic_itemsets": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        runs AS (SELECT lang, words, length, unnest(range(1, len(words) - length + 2)) AS first FROM cut, (VALUES (1), (2), (3)) AS lengths(length)),
+        found AS (SELECT lang, length, array_to_string(words[first:first + length - 1], ' ') AS phrase, count(*) AS f FROM runs GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM found WHERE length = 1 GROUP BY lang),
+        candidates AS (SELECT lang, phrase, length, f, string_split(phrase, ' ') AS words FROM found WHERE length > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, length)) AS k FROM candidates) AS c
+            JOIN found AS l ON l.lang = c.lang AND l.phrase = array_to_string(words[1:k], ' ')
+            JOIN found AS r ON r.lang = c.lang AND r.phrase = array_to_string(words[k + 1:], ' ')),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, phrase, max(f) AS f
+            FROM (SELECT lang, f, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase FROM candidates WHERE length = 3)
+            GROUP BY lang, phrase)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM lowest LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang)
+        WHERE longer.f IS NULL OR 100 * longer.f < 50 * a
+        QUALIFY rank <= 2000""",
     "op13_splitter_skeleton": """
         WITH paths AS (
             SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS path
