@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import (
     dynamic_itemsets,
+    fragment_join,
     latent_search,
     license_scan,
     odd_sketches,
@@ -69,6 +70,10 @@ def op11_dynamic_itemsets(spark: SparkSession, folder: str) -> DataFrame:
     return dynamic_itemsets.collocations(_table(spark, folder, "documents"))
 
 
+def op12_vertical_fragments(spark: SparkSession, folder: str) -> DataFrame:
+    return fragment_join.similar_documents(_table(spark, folder, "documents"))
+
+
 def op13_splitter_skeleton(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
@@ -85,12 +90,37 @@ QUERIES = {
     "op9_vector_packing": op9_vector_packing,
     "op10_zip_archives": op10_zip_archives,
     "op11_dynamic_itemsets": op11_dynamic_itemsets,
+    "op12_vertical_fragments": op12_vertical_fragments,
     "op13_splitter_skeleton": op13_splitter_skeleton,
 }
 
 _NOTICES = ", ".join(f"('{name}', '{notice}')" for name, notice in license_scan.NOTICES)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+def _component_sql(percent: int, columns: str) -> str:
+    """Components of documents whose sets of four-word shingles are similar enough, by comparing all that share one."""
+    return f"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+            FROM cut),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b USING (shingle)
+            JOIN sizes AS x ON x.doc_id = a.doc_id JOIN sizes AS y ON y.doc_id = b.doc_id
+            WHERE a.doc_id <> b.doc_id AND least(x.n, y.n) * 100 >= {percent} * greatest(x.n, y.n)
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= {percent} * (x.n + y.n - count(*))),
+        reached AS (SELECT doc_id AS node, doc_id AS other FROM documents
+                    UNION SELECT node, links.b FROM reached JOIN links ON links.a = other)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, {columns}
+        FROM documents AS d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_license_windows": f"""
         WITH cut AS (
@@ -115,25 +145,7 @@ ORACLES: dict[str, str] = {
                   FROM shingled AS s, notices AS n WHERE s.license IS NULL) AS notices)
         SELECT doc_id, license, CAST(min(begin_at) AS INTEGER) AS first_word, count(*) AS n_windows, max(share) AS containment
         FROM windows WHERE share >= 0.8 GROUP BY doc_id, license""",
-    "op6_odd_sketches": f"""
-        WITH RECURSIVE cut AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words
-            FROM documents),
-        shingles AS (
-            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-                ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
-            FROM cut),
-        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-        links AS (
-            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b USING (shingle)
-            JOIN sizes AS x ON x.doc_id = a.doc_id JOIN sizes AS y ON y.doc_id = b.doc_id
-            WHERE a.doc_id <> b.doc_id AND least(x.n, y.n) * 100 >= 80 * greatest(x.n, y.n)
-            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
-        reached AS (SELECT doc_id AS node, doc_id AS other FROM documents
-                    UNION SELECT node, links.b FROM reached JOIN links ON links.a = other)
-        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
-        FROM documents AS d LEFT JOIN sizes USING (doc_id)
-        JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) USING (doc_id)""",
+    "op6_odd_sketches": _component_sql(80, "component_id, component_id = d.doc_id AS kept"),
     "op10_zip_archives": """
         WITH payloads AS (SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
         firsts AS (SELECT digest, min(page_id) AS first_id FROM payloads GROUP BY digest)
@@ -166,6 +178,7 @@ ORACLES: dict[str, str] = {
         FROM lowest LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang)
         WHERE longer.f IS NULL OR 100 * longer.f < 50 * a
         QUALIFY rank <= 2000""",
+    "op12_vertical_fragments": _component_sql(85, "component_id"),
     "op13_splitter_skeleton": """
         WITH paths AS (
             SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS path
