@@ -11,13 +11,14 @@ A task knows what is active by two filters of bounded size: words and phrases th
 reached the threshold, and those that did within the last cycle. A phrase passes if both
 its halves are in the first and one is in the second. A filter may let others pass for a
 step, but what is counted is always the phrase's whole count in that shard; counts are
-kept by shard, and of two for one shard either is right, so totals are exact.
+kept by shard, and of two for one shard either is right, so totals are exact. What reaches
+the threshold in all has at least its share of it in some shard, so only such keys meet.
 
 Words and phrases are 61-bit hashes of language and text with the length in the lowest
 three bits (a false match among n of them has a chance of about n^2 / 2^62). A phrase's
 hash is that of its first words, mixed, XOR that of its last word. Once the frequent ones
-are known, one scan finds the first words of each, and one the texts of the words of
-those that are in question for the result.
+are known, one scan finds the first words of each, part by part of the documents until it
+is found, and one the texts of the words of those that are in question for the result.
 """
 
 from __future__ import annotations
@@ -46,8 +47,10 @@ TOP = 2000
 UNKNOWN = "und"
 _TAG_BITS = 3
 _TAG = np.uint64((1 << _TAG_BITS) - 1)
-#: Keys that a task gathers before it gives out their counts.
-_GATHERED = 1 << 21
+#: Keys that a task gathers before it gives out what it has of them.
+_GATHERED = 1 << 20
+#: Eighths of the documents that are searched one after the other for the first words of phrases.
+_SEARCHED = ((0, 1), (1, 2), (2, 4), (4, 8))
 #: Parts of a language that are ranked apart before they are ranked together.
 _RANKED_APART = 64
 
@@ -114,8 +117,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, dict[in
 
 
 def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": n.astype(np.int64)})
+    keys = np.concatenate(parts)
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return pa.RecordBatch.from_pydict({"key": keys[first].view(np.int64), "n": np.diff(first, append=len(keys)).astype(np.int64)})
 
 
 def _counts(documents: DataFrame, words_too: bool, reached: KeyFilter | None, recent: KeyFilter | None, longest: int) -> DataFrame:
@@ -144,8 +149,8 @@ def _counts(documents: DataFrame, words_too: bool, reached: KeyFilter | None, re
 class _Counted:
     """Counts of the steps so far, each in a folder with a part for each length."""
 
-    def __init__(self, documents: DataFrame, shards: int, threshold: int):
-        self.spark, self.shards, self.threshold = documents.sparkSession, shards, threshold
+    def __init__(self, documents: DataFrame, shards: int):
+        self.spark, self.shards = documents.sparkSession, shards
         self.steps: list[tuple[int, DataFrame, set[int]]] = []
 
     def add(self, step: int, counts: DataFrame) -> set[int]:
@@ -157,22 +162,29 @@ class _Counted:
         self.steps.append((step % self.shards, written, tags))
         return tags
 
-    def totals(self, tags: set[int], least: int) -> DataFrame:
-        """key, n and tag of what has been counted at least so often."""
-        parts = [(shard, rows) for shard, rows, own in self.steps if own & tags]
-        wanted = F.col("tag").isin(sorted(tags))
+    def totals(self, tag: int, least: int) -> DataFrame:
+        """key, n and tag of the words or phrases of a length that have been counted at least so often."""
+        parts = [(shard, rows.where(F.col("tag") == tag)) for shard, rows, tags in self.steps if tag in tags]
         if len(parts) == 1:
-            return parts[0][1].where(wanted & (F.col("n") >= least)).select("key", "n", "tag")
-        rows = reduce(DataFrame.union, [r.where(wanted).select("key", "tag", "n", F.lit(s).alias("shard")) for s, r in parts])
+            return parts[0][1].where(F.col("n") >= least).select("key", "n", "tag")
+        share = -(-least // self.shards)
+        possible = key_filter(reduce(DataFrame.union, [rows.where(F.col("n") >= share).select("key") for _, rows in parts]))
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(possible.holds(batch.column("key").to_numpy())))
+
+        rows = reduce(DataFrame.union, [rows.select("key", "n", F.lit(shard).alias("shard")) for shard, rows in parts])
         each = [F.max(F.when(F.col("shard") == s, F.col("n"))).alias(f"n{s}") for s in range(self.shards)]
         total = sum(F.coalesce(f"n{s}", F.lit(0)) for s in range(self.shards))
-        return rows.groupBy("key", "tag").agg(*each).select("key", total.alias("n"), "tag").where(F.col("n") >= least)
+        counted = rows.mapInArrow(keep, "key long, n long, shard int").groupBy("key").agg(*each)
+        return counted.select("key", total.alias("n"), F.lit(tag).alias("tag")).where(F.col("n") >= least)
 
 
 def _frequent(documents: DataFrame, threshold: int, longest: int, shards: int) -> DataFrame:
     """key, n and tag of all words and phrases that occur at least `threshold` times, and of all languages (tag 0)."""
     shard = F.pmod(F.xxhash64("lang", "text"), F.lit(shards))
-    counted = _Counted(documents, shards, threshold)
+    counted = _Counted(documents, shards)
     reached: list[DataFrame] = []  # by step: key and tag of what reached the threshold then
     latest: dict[int, DataFrame] = {}  # by length: all that has
     empty = documents.sparkSession.createDataFrame([], "key long, n long, tag int")
@@ -187,35 +199,53 @@ def _frequent(documents: DataFrame, threshold: int, longest: int, shards: int) -
             documents.where(shard == step % shards), step < shards,
             key_filter(before) if started else None, key_filter(recent) if step > shards else None, longest)) - {0}
         if tags:
-            found = stage(counted.totals(tags, threshold), "frequent-phrases")
+            found = stage(reduce(DataFrame.union, [counted.totals(tag, threshold) for tag in sorted(tags)]), "frequent-phrases")
             reached.append(stage(found.select("key", "tag").join(before.select("key").hint("merge"), "key", "left_anti"), "reached"))
             latest |= {tag: found.where(F.col("tag") == tag) for tag in tags}
         else:
             reached.append(empty.select("key", "tag"))
         step += 1
-    return reduce(DataFrame.union, latest.values(), counted.totals({0}, 1) if counted.steps else empty)
+    return reduce(DataFrame.union, latest.values(), counted.totals(0, 1) if counted.steps[0][2] else empty)
 
 
-def _first_words(documents: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
-    """key, lang_key and words (keys) of each frequent phrase."""
-    wanted = key_filter(frequent.where("tag > 0"))
+def _found_first_words(documents: DataFrame, reached: KeyFilter, wanted: KeyFilter, longest: int) -> DataFrame:
+    """key, first, last and lang_key of the wanted phrases in some documents, a few times each."""
+    def distinct(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        own, first, language = (np.concatenate(column) for column in zip(*parts, strict=True))
+        order = np.argsort(own)
+        order = order[np.append(True, own[order[1:]] != own[order[:-1]])]
+        own, first, language = own[order], first[order], language[order]
+        return pa.RecordBatch.from_pydict({name: column.view(np.int64) for name, column in (
+            ("key", own), ("first", first), ("last", last_word(own, first)), ("lang_key", language))})
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
+        gathered, size = [], 0
         for block, _ in _blocks(batches):
-            for places, first, _, own in block.phrases(wanted, longest):
-                own, at = np.unique(own, return_index=True)
-                fresh = wanted.holds(own)
-                if len(seen):
-                    fresh &= seen[np.minimum(np.searchsorted(seen, own), len(seen) - 1)] != own
-                own, at = own[fresh], at[fresh]
-                seen = np.union1d(seen, own)
-                yield pa.RecordBatch.from_pydict({
-                    "key": own.view(np.int64), "first": first[at].view(np.int64), "last": last_word(own, first[at]).view(np.int64),
-                    "lang_key": block.languages[places[at]].view(np.int64)})
-
-    rows = documents.mapInArrow(find, "key long, first long, last long, lang_key long")
-    once = rows.groupBy("key").agg(F.first("first").alias("first"), F.first("last").alias("last"), F.first("lang_key").alias("lang_key"))
+            for places, first, _, own in block.phrases(reached, longest):
+                held = np.flatnonzero(wanted.holds(own))
+                gathered.append((own[held], first[held], block.languages[places[held]]))
+                size += len(held)
+            if size >= _GATHERED:
+                yield distinct(gathered)
+                gathered, size = [], 0
+        if size:
+            yield distinct(gathered)
+
+    return documents.mapInArrow(find, "key long, first long, last long, lang_key long")
+
+
+def _first_words(documents: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
+    """key, lang_key and words (keys) of each frequent phrase."""
+    reached = key_filter(frequent.where("tag > 0"))
+    wanted = frequent.where("tag > 1").select("key")
+    eighth = F.pmod(F.xxhash64("text", "lang"), F.lit(8))
+    found = []
+    for begin, end in _SEARCHED:
+        rows = _found_first_words(documents.where((eighth >= begin) & (eighth < end)), reached, key_filter(wanted), longest)
+        once = rows.groupBy("key").agg(*[F.first(c).alias(c) for c in ("first", "last", "lang_key")])
+        found.append(stage(once.join(wanted.hint("merge"), "key", "left_semi"), "first-words"))
+        wanted = stage(wanted.join(found[-1].select("key").hint("merge"), "key", "left_anti"), "phrases-to-find")
+    once = reduce(DataFrame.union, found)
     phrases = stage(frequent.where("tag > 1").join(once.hint("merge"), "key"), "phrase-parts")
     level = phrases.where("tag = 2").select("key", "lang_key", "n", F.array("first", "last").alias("words"))
     levels = [level]
