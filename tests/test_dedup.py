@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.functions import similarity
 from tributary.operators import dedup, linkage, reconcile, skew
 from tributary.operators.skew import skew_join
 from tributary.plans.deduplicate import deduplicate, fuzzy_step
@@ -270,14 +271,81 @@ def test_exactly_88_is_a_match(spark):
     assert got["l"][0][0][1] == 88.0 and got["l"][1] == "g"
 
 
+@pytest.mark.parametrize("index_cost", [0, 1e9])
+@pytest.mark.parametrize("cutoff", [60, 75, 90])
+def test_both_ways_of_meeting_find_all_pairs(spark, monkeypatch, index_cost, cutoff):
+    """Pieces wherever there is a character for each, or all pairs: the same as nested loops."""
+    monkeypatch.setattr(linkage, "_SHORTEST_PIECE", 1)
+    random.seed(cutoff)
+    texts = set()
+    for base in ("".join(random.choices("abcde ", k=n)) for n in (3, 8, 14, 22, 30, 45)):
+        for _ in range(14):
+            text = list(base)
+            for _ in range(random.randint(0, 6)):
+                place = random.randrange(len(text))
+                text[place] = random.choice(["", "a", "b", "zz"])
+            texts.add("".join(text) or "x")
+    names = sorted(texts)
+    left, right = ([(b, n) for b in "AB" for n in own] for own in (names[::2], names[1::2]))
+    sides = [linkage.with_character_sets(spark.createDataFrame(own, "block string, key string")) for own in (left, right)]
+    got = [(r.block, r.key, r.right_key) for r in linkage.similar_pairs(*sides, cutoff, index_cost).collect()]
+    wanted = {(b, l, r) for b, l in left for c, r in right if b == c and 200 * table_lcs(l, r) >= cutoff * (len(l) + len(r))}
+    assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 20
+    by_pieces = linkage.cells(*sides, cutoff, index_cost).where("pieces IS NOT NULL").count()
+    assert (by_pieces > 0) == (index_cost == 0)
+
+
+def test_large_cells_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "_BLOCK", 3)
+    names = [f"name {i:02d} {'x' * (i % 3)}" for i in range(25)]
+    sides = [linkage.with_character_sets(spark.createDataFrame([("A", n) for n in own], "block string, key string"))
+             for own in (names, names[::-1])]
+    got = [(r.key, r.right_key) for r in linkage.similar_pairs(*sides, 75, 1e9).collect()]
+    wanted = {(l, r) for l in names for r in names if 200 * table_lcs(l, r) >= 75 * (len(l) + len(r))}
+    assert len(got) == len(set(got)) and set(got) == wanted
+
+
+def name_roster(seed, size):
+    """Distinct names of syllables, with near copies between both sides."""
+    draw = random.Random(seed)
+    syllables = ["an", "ber", "cor", "del", "en", "fra", "gu", "han", "is", "jo", "kal", "lin", "mar", "nor", "ol", "per", "ri", "san", "tor", "vi"]
+    word = lambda: "".join(draw.choice(syllables) for _ in range(draw.randint(2, 4)))
+    right = {f"{word()} {word()}" for _ in range(size)}
+    left = set()
+    for name in draw.sample(sorted(right), size // 5):
+        place = draw.randrange(len(name))
+        left.add(name[:place] + draw.choice(["", "e", "x"]) + name[place + 1:])
+    return [[(n[0].upper(), " ".join(sorted(n.split()))) for n in sorted(side)] for side in (left, right)]
+
+
+@pytest.mark.parametrize(("cutoff", "share"), [(88, 0.65), (75, 1.05)])
+def test_linkage_never_makes_more_rows_than_pairs(spark, cutoff, share):
+    """Rows of both sides and pairs that meet, against all pairs of the blocks."""
+    left, right = name_roster(1, 4000)
+    sides = [linkage.with_character_sets(spark.createDataFrame(own, "block string, key string")) for own in (left, right)]
+    planned = linkage.cells(*sides, cutoff)
+    a, b, same = linkage.meetings(*sides, planned.cache())
+    pairs = sides[0].join(sides[1].withColumnRenamed("key", "other"), "block").count()
+    assert a.count() + b.count() + a.join(b.hint("merge"), same).count() <= share * pairs
+
+
 def test_linkage_plan_has_no_all_pairs_join(spark):
     keys = spark.createDataFrame([("A", "ab")], "block string, key string")
-    elements = linkage.with_elements(keys, list(range(256)))
-    plan = linkage.similar_pairs(elements, elements, 75)._jdf.queryExecution().executedPlan().toString()
+    names = linkage.with_character_sets(keys)
+    plan = linkage.similar_pairs(names, names, 75)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_lcs_of_many_pairs_equals_one_by_one():
+    random.seed(5)
+    for alphabet, longest in (("ab", 64), ("abcé😀 \0", 8), ("abcdef", 33)):
+        left = ["".join(random.choices(alphabet, k=random.randint(0, longest))) for _ in range(200)]
+        right = ["".join(random.choices(alphabet, k=random.randint(0, 80))) for _ in range(200)]
+        assert similarity._lcs_of_short(left, right).tolist() == [table_lcs(a, b) for a, b in zip(left, right)]
+        assert [similarity._lcs(a, b) for a, b in zip(left, right)] == [table_lcs(a, b) for a, b in zip(left, right)]
+
+
 def roster(seed, size):
     random.seed(seed)
     rows = []

@@ -6,6 +6,7 @@ subsequence.  Cutoffs are compared in integers: 200·LCS >= cutoff·(lengths).
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +29,48 @@ def _lcs(left: str, right: str) -> int:
     return len(left) - free.bit_count()
 
 
+def _code_points(texts: list[str], lengths: np.ndarray, width: int, filling: int) -> np.ndarray:
+    """Code points of texts, a row each, filled up with a number that is none."""
+    encoded = "".join(text.ljust(width) for text in texts).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(encoded, np.uint32).reshape(len(texts), width)
+    return np.where(np.arange(width) < lengths[:, None], points, np.uint32(filling))
+
+
+def _lcs_of_short(left: list[str], right: list[str]) -> np.ndarray:
+    """The same for many pairs at once; left texts have at most 64 characters."""
+    lengths, others = (np.array([len(text) for text in texts]) for texts in (left, right))
+    width = int(others.max(initial=0))
+    bits = next(n for n in (8, 16, 32, 64) if n >= lengths.max(initial=0))
+    kind = np.dtype(f"uint{bits}")
+    a = _code_points(left, lengths, bits, 0xFFFFFFFE)
+    b = _code_points(right, others, width, 0xFFFFFFFF)
+
+    def packed(same: np.ndarray) -> np.ndarray:
+        return np.packbits(same, axis=1, bitorder="little").view(kind)[:, 0]
+
+    free = np.full(len(left), ~kind.type(0))
+    for place in range(width):
+        hit = packed(a == b[:, place:place + 1]) & free
+        free = (free + hit) | (free - hit)
+    return bits - np.bitwise_count(free | packed(a == 0xFFFFFFFE)).astype(np.int32)
+
+
+_PAIRS_AT_ONCE = 1 << 13
+
+
 @F.pandas_udf(T.IntegerType())
 def _lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([_lcs(a, b) for a, b in zip(left, right)], dtype="int32")
+    out = np.zeros(len(left), np.int32)
+    pairs = [(b, a) if len(a) > len(b) else (a, b) for a, b in zip(left, right)]  # the shorter one first
+    short = np.array([len(a) <= 64 for a, _ in pairs], bool)
+    for i in np.flatnonzero(~short):
+        out[i] = _lcs(*pairs[i])
+    # by length, so that texts of a group need little filling
+    order = sorted(np.flatnonzero(short).tolist(), key=lambda i: ((len(pairs[i][0]) - 1) // 8, len(pairs[i][1])))
+    for start in range(0, len(order), _PAIRS_AT_ONCE):
+        part = order[start:start + _PAIRS_AT_ONCE]
+        out[part] = _lcs_of_short([pairs[i][0] for i in part], [pairs[i][1] for i in part])
+    return pd.Series(out)
 
 
 # a filter on the result would otherwise be pushed below it as a second evaluation

@@ -1,20 +1,22 @@
 """Blocked similarity linkage: for each left name the best right names.
 
-All right names of a block would be compared with every left name of it if
-the block were the join key.  Instead names meet on signatures:
-
 * Names are reduced to distinct (block, token-sorted name) first.
-* score >= cutoff means LCS >= need(total length), and the characters two names
-  share, counted with repetitions, are at least as many as their LCS.
-* Only names of certain lengths can be partners.  A name emits its signatures for
-  each of these lengths, and both lengths are part of the key on which names meet.
-* Sort the characters of each name by one global order, rare ones first.  If two
-  names share `need` characters, their first `size` shared ones lie within the
-  first `length - need + size` of either (prefix filter; Wang, Li and Feng 2012
-  for more than one).  Each name therefore emits all combinations of `size`
-  characters of that prefix, and names meet on equal combinations.
-* A pair can share many combinations; only the one made of its first shared
-  characters passes, so no pair appears twice and none has to be de-duplicated.
+* score >= cutoff means LCS >= need, where need follows from the two lengths. Names
+  of a block and a pair of lengths form a cell; cells of lengths that cannot reach the
+  cutoff do not exist.
+* In a cell the characters that may stay unmatched are known: `spare_l` of the left and
+  `spare_r` of the right name, together the bound. The right name is cut into one piece
+  more than the bound. Unmatched characters cannot touch every piece, and there is one
+  piece, number i, with exactly i of them before it and none inside (pigeonhole over the
+  running sums). That piece stands in the left name, moved by as many places as left ones
+  exceed right ones among the i, so the left name looks up (spare_l + 1) (spare_r + 1)
+  pieces of text in an index of the right pieces (segment signatures; cf. Li, Deng, Wang
+  and Feng 2012, with insertions and deletions only).
+* Small cells, and those whose pieces would be too short, compare all their names instead,
+  in blocks. Which way a cell takes follows from the counted names of both sides; results
+  are the same.
+* A pair that meets passes a test on 128-bit sets of its characters and, if it met on
+  several pieces, counts at the first of them alone.
 * Cutoffs are tried from equal names downwards.  A left name that has found as
   many right rows as are wanted is finished, because lower cutoffs cannot change
   its best ones.  Names in dense neighbourhoods never reach the low cutoffs.
@@ -46,11 +48,12 @@ from tributary.staging import stage
 
 CUTOFF_STEPS = (100, 88)  # tried before the final cutoff; 100 stands for equal names
 
-_CHARACTER_BINS = 256  # characters are counted by code point modulo this
-_OCCURRENCE_BITS = 20  # room for the running number of a repeated character
-# characters per signature by the total length of a pair: the longer the names, the
-# more combinations a prefix has; beyond the last limit single characters are used
-_SIGNATURE_SIZES = ((40, 3), (80, 2))
+#: Compared pairs that a row of the index of pieces is worth.
+INDEX_COST = 1
+#: Characters of a piece at least.
+_SHORTEST_PIECE = 3
+#: Names of each side that meet in one block where a cell compares all.
+_BLOCK = 512
 
 
 def linkage_rows(
@@ -79,136 +82,135 @@ def _needed(total: str, cutoff: int) -> str:
     return f"int(({cutoff} * ({total}) + 199) div 200)"
 
 
-def _signature_size(total: str, cutoff: int) -> str:
-    """SQL: number of characters in the signatures on which such a pair meets."""
-    cases = " ".join(f"when {total} <= {limit} then {size}" for limit, size in _SIGNATURE_SIZES)
-    return f"least({_needed(total, cutoff)}, case {cases} else 1 end)"
-
-
-def _combinations(places: str, size: int) -> str:
-    """SQL: all ascending combinations of the entries (e: element, p: place) of an array."""
-    sql = f"array({', '.join(f'x{level}.e' for level in range(1, size + 1))})"
-    for level in range(size, 0, -1):
-        entries = places if level == 1 else f"slice({places}, x{level - 1}.p + 2, size({places}))"
-        sql = f"transform({entries}, x{level} -> {sql})"
-        if level < size:
-            sql = f"flatten({sql})"
-    return sql
-
-
-def _character_ranks(keys: DataFrame) -> list[int]:
-    """Rank of each character bin, rare ones first; always _CHARACTER_BINS numbers."""
-    counts = (
-        keys.select(F.explode(F.regexp_extract_all("key", F.lit("(?s)(.)"))).alias("char"))
-        .groupBy(F.pmod(F.ascii("char"), F.lit(_CHARACTER_BINS)).alias("bin"))
-        .count()
-    )
-    by_bin = {row["bin"]: row["count"] for row in counts.collect()}
-    rarest_first = sorted(range(_CHARACTER_BINS), key=lambda bin_: (by_bin.get(bin_, 0), bin_))
-    ranks = [0] * _CHARACTER_BINS
-    for rank, bin_ in enumerate(rarest_first):
-        ranks[bin_] = rank
-    return ranks
-
-
 def _computed_once(sql: str) -> Column:
     """The value as the only row of an explode, which Spark does not copy into later
     expressions; inside a lambda a copy would be computed for every element."""
     return F.explode(F.array(F.expr(sql)))
 
 
-def with_elements(keys: DataFrame, ranks: list[int]) -> DataFrame:
-    """Adds the length of `key`, its characters as ascending numbers, and a bit set.
+def with_character_sets(keys: DataFrame) -> DataFrame:
+    """Adds the length of `key` and two bit sets of its characters.
 
-    The number is rank << 20 | running number, so a repeated character gives
-    different elements and shared elements count repetitions.  The bit set has one
-    of 64 bits per element: each bit that only one of two names has is an element
-    that the other one lacks.
+    Each character and running number of its repetitions has one of 128 bits: each bit
+    that only one of two names has is a character that the other one lacks.
     """
-    table = f"array({', '.join(map(str, ranks))})"
-    bins = (
-        r"array_sort(transform(regexp_extract_all(key, '(?s)(.)'), "
-        f"char -> get({table}, pmod(ascii(char), {_CHARACTER_BINS}))))"
-    )
-    first_place = (
-        "map_from_arrays(array_distinct(_bins), "
-        "transform(array_distinct(_bins), bin -> array_position(_bins, bin)))"
-    )
-    elements = (
-        f"transform(_bins, (bin, place) -> "
-        f"shiftleft(bin, {_OCCURRENCE_BITS}) + int(place + 1 - _first[bin]))"
-    )
-    bit = f"(shiftright(e, {_OCCURRENCE_BITS}) + 29 * (e & {(1 << _OCCURRENCE_BITS) - 1})) % 64"
-    bits = f"aggregate(elements, 0L, (set, e) -> set | shiftleft(1L, int({bit})))"
-    return (
-        keys.withColumn("_bins", _computed_once(bins))
-        .withColumn("_first", _computed_once(first_place))
-        .withColumn("elements", _computed_once(elements))
-        .withColumns({"length": F.size("elements"), "bits": F.expr(bits)})
-        .drop("_bins", "_first")
-    )
+    sorted_chars = "array_sort(regexp_extract_all(key, '(?s)(.)'))"
+    places = "transform(_chars, (char, place) -> pmod(xxhash64(char, place - array_position(_chars, char)), 128))"
 
+    def bits(low: int) -> Column:
+        own = f"filter(_places, p -> p >= {low} and p < {low + 64})"
+        return F.expr(f"aggregate({own}, 0L, (bits, p) -> bits | shiftleft(1L, int(p - {low})))")
 
-def _signatures(keys: DataFrame, cutoff: int, side: str) -> DataFrame:
-    """One row per name, length of a partner within the cutoff, and combination they can share."""
-    shortest = f"int(({cutoff} * length + {199 - cutoff}) div {200 - cutoff})"
-    longest = f"int({200 - cutoff} * length div {cutoff})"
-    rows = (
-        keys.where("length > 0")
-        .withColumn("_partner", F.explode(F.expr(f"sequence({shortest}, {longest})")))
-        .withColumn("_need", F.expr(_needed("length + _partner", cutoff)))
-        .withColumn("_size", F.expr(_signature_size("length + _partner", cutoff)))
-        .withColumn(
-            "_places",
-            _computed_once("transform(slice(elements, 1, length - _need + _size), (e, p) -> struct(e, p))"),
-        )
-    )
-    sizes = range(1, 1 + max(size for _, size in _SIGNATURE_SIZES))
-    cases = " ".join(f"when {size} then {_combinations('_places', size)}" for size in sizes)
-    lengths = ("length", "_partner") if side == "left" else ("_partner", "length")
     return (
-        rows.withColumn("combo", F.explode(F.expr(f"case _size {cases} end")))
-        .withColumn("meeting", F.xxhash64("block", *lengths, "combo"))
-        .drop("_partner", "_need", "_size", "_places")
+        keys.withColumn("_chars", _computed_once(sorted_chars))
+        .withColumn("_places", _computed_once(places))
+        .withColumns({"length": F.length("key"), "low_bits": bits(0), "high_bits": bits(64)})
+        .drop("_chars", "_places")
     )
 
 
-def meetings(left: DataFrame, right: DataFrame, cutoff: int) -> tuple[DataFrame, DataFrame, Column]:
-    """Signatures of both sides as a and b, and the condition on which they meet."""
-    a, b = _signatures(left, cutoff, "left").alias("a"), _signatures(right, cutoff, "right").alias("b")
-    return a, b, F.expr("a.meeting = b.meeting")
+def cells(left: DataFrame, right: DataFrame, cutoff: int, index_cost: float = INDEX_COST) -> DataFrame:
+    """block, l_length, r_length of names that can reach the cutoff, names of both sides, and how they meet.
+
+    `pieces` is null where all names of the cell are compared.
+    """
+    def counted(names: DataFrame, side: str) -> DataFrame:
+        rows = names.where("length > 0").groupBy("block", F.col("length").alias(f"{side}_length"))
+        return rows.agg(F.count("*").alias(f"{side}_names"))
+
+    need = _needed("l_length + r_length", cutoff)
+    both = counted(left, "l").join(counted(right, "r"), "block")
+    possible = both.withColumn("need", F.expr(need)).where("need <= least(l_length, r_length)").withColumns(
+        {"spare_l": F.expr("l_length - need"), "spare_r": F.expr("r_length - need")})
+    pieces = F.expr("spare_l + spare_r + 1")
+    index_rows = F.expr("r_names * (spare_l + spare_r + 1) + l_names * (spare_l + 1) * (spare_r + 1)")
+    by_pieces = (F.col("r_length") >= pieces * _SHORTEST_PIECE) & (index_rows * index_cost <= F.expr("l_names * r_names"))
+    return possible.withColumns({"index_rows": index_rows, "pieces": F.when(by_pieces, pieces)})
+
+
+_BEGIN = "int(piece * r_length div pieces)"
+_LENGTH = "int((piece + 1) * r_length div pieces - piece * r_length div pieces)"
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
+def _found_at(piece: str) -> str:
+    """SQL: places of the left name, from 0, at which a piece of the right one may stand."""
+    unmatched = f"sequence(greatest(0, {piece} - spare_l), least({piece}, spare_r))"
+    begin = _BEGIN.replace("piece ", f"{piece} ")
+    return f"transform({unmatched}, r -> {begin} + {piece} - 2 * r)"
+
+
+def meetings(left: DataFrame, right: DataFrame, planned: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """Rows of both sides as a and b, and the condition on which they meet.
+
+    Where all are compared, a right name waits under its own length for the left names of
+    all lengths that fit; where pieces are, both sides have a row a piece.
+    """
+    cell = ["block", "l_length", "r_length"]
+    whole, cut = planned.where("pieces IS NULL"), planned.where("pieces IS NOT NULL")
+    waiting = whole.groupBy("block", "r_length").agg(
+        F.ceil(F.sum("l_names") / _BLOCK).cast("int").alias("l_blocks"), F.ceil(F.first("r_names") / _BLOCK).cast("int").alias("r_blocks"))
+    l = left.withColumn("l_length", F.col("length"))
+    r = right.withColumn("r_length", F.col("length"))
+
+    def in_blocks(rows: DataFrame, own: str, other: str) -> DataFrame:
+        rows = rows.withColumn(f"_{own}", F.pmod(F.xxhash64("key"), F.col(f"{own}_blocks")).cast("int")).withColumn(
+            f"_{other}", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+        rows = rows.withColumn("meeting", F.xxhash64("block", "r_length", "_l", "_r")).withColumn("piece", F.lit(None).cast("int"))
+        return rows.drop("_l", "_r", "l_blocks", "r_blocks")
+
+    def in_pieces(rows: DataFrame, texts: str) -> DataFrame:
+        rows = rows.withColumn("piece", F.explode(F.expr("sequence(0, pieces - 1)"))).withColumn("_text", F.explode(F.expr(texts)))
+        return rows.withColumn("meeting", F.xxhash64(*cell, "piece", "_text")).drop("_text")
+
+    known = [*cell, "spare_l", "spare_r", "pieces"]
+    looked_up = (f"array_distinct(transform(filter({_found_at('piece')}, at -> at >= 0 and at + {_LENGTH} <= l_length), "
+                 f"at -> substring(key, at + 1, {_LENGTH})))")
+    a = in_blocks(skew_join(l, whole.select(*known).join(waiting, ["block", "r_length"]), ["block", "l_length"]), "l", "r")
+    a = a.unionByName(in_pieces(skew_join(l, cut.select(*known), ["block", "l_length"]), looked_up))
+    b = in_blocks(skew_join(r, waiting, ["block", "r_length"]), "r", "l")
+    indexed = in_pieces(skew_join(r, cut.select(*known), ["block", "r_length"]), f"array(substring(key, {_BEGIN} + 1, {_LENGTH}))")
+    return a.alias("a"), b.unionByName(indexed.drop("l_length", "spare_l", "spare_r", "pieces")).alias("b"), F.expr("a.meeting = b.meeting")
+
+
+def _first_meeting() -> Column:
+    """Whether no piece before the one on which two names met stands in the left name."""
+    earlier = "transform(sequence(0, piece - 1), i -> struct(i, " + _found_at("i") + " as places))"
+    length = _LENGTH.replace("piece ", "e.i ").replace("(piece + 1)", "(e.i + 1)")
+    begin = _BEGIN.replace("piece ", "e.i ")
+    stands = (f"exists(e.places, at -> at >= 0 and at + {length} <= l_length "
+              f"and substring(key, at + 1, {length}) = substring(right_key, {begin} + 1, {length}))")
+    return F.expr(f"piece is null or piece = 0 or not exists({earlier}, e -> {stands})")
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int, index_cost: float = INDEX_COST) -> DataFrame:
     """Pairs of distinct names of one block whose score reaches the cutoff.
 
-    Inputs come from with_elements; further columns of the right side stay.  The
+    Inputs come from with_character_sets; further columns of the right side stay.  The
     exploded sides are far larger than their inputs suggest, hence the hint for
     a join that shuffles, spills and splits skewed partitions.
     """
-    own = ("block", "key", "length", "elements", "bits")
+    own = ("block", "key", "length", "low_bits", "high_bits")
     others = [c for c in right.columns if c not in own]
-    a, b, same = meetings(left, right, cutoff)
-    total = "a.length + b.length"
-    need, size = _needed(total, cutoff), "size(a.combo)"
-    shared = "array_intersect(a.elements, b.elements)"
-    met = a.join(  # conditions are tested in this order, cheap ones first
+    a, b, same = meetings(left, right, stage(cells(left, right, cutoff, index_cost), "linkage-cells"))
+
+    def lacking(one: str, other: str) -> str:
+        return " + ".join(f"bit_count({one}.{bits} & ~{other}.{bits})" for bits in ("low_bits", "high_bits"))
+
+    met = a.join(  # conditions are tested in this order
         b.hint("merge"),
         same & F.expr(
-            f"""a.block = b.block
-            and a.length - bit_count(a.bits & ~b.bits) >= {need}
-            and b.length - bit_count(b.bits & ~a.bits) >= {need}
-            and size({shared}) >= {need}
-            and slice({shared}, 1, {size}) = a.combo
-            and a.combo = b.combo"""
+            f"""{lacking('a', 'b')} <= a.spare_l and {lacking('b', 'a')} <= a.spare_r
+            and a.r_length = b.r_length and a.block = b.block and a.piece <=> b.piece"""
         ),
     )
+    total = F.col("l_length") + F.col("r_length")
     measured = met.select(
         "a.block", "a.key", F.col("b.key").alias("right_key"), *[f"b.{c}" for c in others],
-        F.expr(total).alias("total"), lcs_length("a.key", "b.key").alias("lcs"),
+        *[f"a.{c}" for c in ("l_length", "r_length", "spare_l", "spare_r", "pieces", "piece")],
+        lcs_length("a.key", "b.key").alias("lcs"),
     )
-    return measured.where(reaches(F.col("lcs"), F.col("total"), cutoff)).select(
-        "block", "key", "right_key", *others, score(F.col("lcs"), F.col("total")).alias("score")
+    return measured.where(reaches(F.col("lcs"), total, cutoff)).where(_first_meeting()).select(
+        "block", "key", "right_key", *others, score(F.col("lcs"), total).alias("score")
     )
 
 
@@ -263,14 +265,9 @@ def best_candidates(
         .withColumn("first_ord", F.get("members", F.lit(0))["ord"])
     )
     members = stage(members, "linkage-right")
-    ranks = _character_ranks(members)
-    # names are few bytes but multiply in the next step, so they go to all cores
-    cores = left.sparkSession.sparkContext.defaultParallelism
-    targets = members.select("block", "key", "first_ord").repartition(cores, "block", "key")
-    targets = stage(with_elements(targets, ranks), "linkage-right")
+    targets = stage(with_character_sets(members.select("block", "key", "first_ord")), "linkage-right")
     wanted = left.where("name != ''").select("block", "key").distinct()
-    wanted = with_elements(wanted.repartition(cores, "block", "key"), ranks)
-    wanted = stage(wanted, "linkage-left")
+    wanted = stage(with_character_sets(wanted), "linkage-left")
 
     def equal_names(names: DataFrame) -> DataFrame:
         same = names.select("block", "key").join(
