@@ -46,13 +46,10 @@ def test_summary_and_removed(spark, rows_of):
     assert rows_of(ag.removed_by_step(edges.where("false"), spark.range(0), spark.range(0))) == [("exact_id", 0)]
 
 
-@pytest.mark.parametrize("small", [100_000, 20])
-def test_quantiles_equal_numpy(spark, monkeypatch, small):
-    """Also with brackets: a small limit makes every group use the sketch."""
-    monkeypatch.setattr(quantiles, "_SMALL", small)
-    if small == 20:
-        monkeypatch.setattr(quantiles, "_ACCURACY", 1000)
-        monkeypatch.setattr(quantiles, "_MARGIN", 0.01)
+@pytest.mark.parametrize("cells", [1 << 14, 5])
+def test_quantiles_equal_numpy(spark, monkeypatch, cells):
+    """Also with few cells a round, so that many rounds are needed."""
+    monkeypatch.setattr(quantiles, "_CELLS", cells)
     random.seed(3)
     data = {g: [random.choice([random.gauss(0, 9), float(random.randint(0, 3))]) for _ in range(n)]
             for g, n in (("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 1003), ("f", 2000))}
@@ -71,6 +68,20 @@ def test_quantiles_equal_numpy(spark, monkeypatch, small):
     assert quantiles.exact_quantiles(df.where("false"), "v", [0.5]).count() == 0
 
 
+def test_quantiles_of_far_apart_values(spark):
+    """Both signs, zeros, infinities and the smallest and largest doubles; nothing is ordered but cells."""
+    values = [-np.inf, -1.7e308, -3.5, -3.0, -2.0**-1074, -0.0, 0.0, 2.0**-1074, 2.0**-1022, 1.0, 1.0 + 2.0**-52, 1.5, 2.0, 1e300, 1.7e308, np.inf]
+    values += [None, float("nan")]
+    df = frame(spark, [(v,) for v in values], "v double")
+    shares = [i / 15 for i in range(16)]
+    got = quantiles.exact_quantiles(df, "v", shares).first()
+    ranks = [int(np.floor(p * 15)) for p in shares]
+    exact = [i for i, (p, r) in enumerate(zip(shares, ranks, strict=True)) if p * 15 == r]
+    assert len(exact) > 12 and [got[f"q{i}"] for i in exact if 0 < i < 15] == [values[i] for i in exact if 0 < i < 15]
+    plan = quantiles.exact_quantiles(df, "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "percentile" not in plan
+
+
 def test_box_statistics(spark, rows_of):
     data = {"one": [5.0], "same": [3.0] * 4, "far": [1.0, 2.0, 3.0, 4.0, 100.0, 100.0, -90.0],
             "gap": [0.0, 10.0, 10.0, 10.0, 20.0]}

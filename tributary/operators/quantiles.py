@@ -1,28 +1,73 @@
 """Exact quantiles, histograms and box-plot statistics without large groups.
 
-Spark's `percentile` keeps every distinct value of a group in one buffer.  Here
-a sketch brackets each quantile first; everything below the bracket is reduced
-to one count, so only the values inside it are ever ordered in one place.
+Spark's `percentile` keeps every distinct value of a group in one buffer.  Here the
+place of each quantile is narrowed down by rounds of histograms with partial counts:
+the first has a cell for each sign and power of two, later ones cut the cell that holds
+the wanted rank into equally wide cells, between the smallest and the largest value found
+in it. Five rounds reach any double within a power of two; usually a few are enough. No
+values are ever ordered, only the bounded cells of a histogram.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.fixed_values import HISTOGRAM_BINS
 from tributary.operators.skew import skew_join
 from tributary.staging import stage
 
-_ACCURACY = 100_000          # the sketch is off by at most rows / _ACCURACY ranks
-_MARGIN = 10 / _ACCURACY     # half width of the bracket, as a share of the rows
-_SMALL = _ACCURACY           # groups up to this size are ordered whole
+#: Cells of one round, for each group and rank.
+_CELLS = 1 << 14
+#: Rows are written apart as soon as this share of them is all that is still looked at.
+_FEW = 1 / 8
 
 
 def _interpolated(low: Column, high: Column, share: Column) -> Column:
     rising = low + (high - low) * share
     falling = high - (high - low) * (F.lit(1.0) - share)
-    return F.when(share < 0.5, rising).otherwise(falling)
+    return F.when(share == 0, low).when(share < 0.5, rising).otherwise(falling)
+
+
+def _power_cell(value: Column) -> Column:
+    """A number for the sign and power of two of a value, rising with it."""
+    power = F.floor(F.least(F.greatest(F.log2(F.abs(value)), F.lit(-1100.0)), F.lit(1100.0))) + 1101
+    return F.when(value == 0, F.lit(0)).when(value > 0, power).otherwise(-power).cast("int")
+
+
+def _width_cell(value: Column, low: Column, high: Column) -> Column:
+    return F.least(F.floor((value - low) / (high - low) * _CELLS), F.lit(_CELLS - 1)).cast("int")
+
+
+_FOUND = "struct<below: bigint, n: bigint, low: double, high: double, done: boolean>"
+
+
+def _cell_of_rank(cells: str, rank: Column) -> Column:
+    """The cell that holds the value of a rank counted from 0, and how many values lie below it."""
+    return F.aggregate(
+        F.array_sort(cells),
+        F.expr(f"cast(struct(0L, 0L, null, null, false) as {_FOUND})"),
+        lambda s, c: F.when(s["done"], s).otherwise(F.struct(
+            F.when(s["below"] + c["n"] > rank, s["below"]).otherwise(s["below"] + c["n"]).alias("below"),
+            c["n"].alias("n"), c["low"].alias("low"), c["high"].alias("high"), (s["below"] + c["n"] > rank).alias("done"),
+        ).cast(_FOUND)),
+    )
+
+
+def _cells(rows: DataFrame, *by: str) -> DataFrame:
+    """Counted cells with their smallest and largest value, collected for all columns but the last: `_cell`."""
+    counted = rows.groupBy(*by, "_cell").agg(
+        F.count("*").alias("n"), F.min("_value").alias("low"), F.max("_value").alias("high"))
+    return counted.groupBy(*by).agg(F.collect_list(F.struct("_cell", "n", "low", "high")).alias("_cells"))
+
+
+def _meet(rows: DataFrame, lookup: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Rows with the one value of `column` that the lookup has for their group."""
+    if keys:
+        return skew_join(rows, lookup, keys)
+    return rows.withColumn(column, lookup.select(column).scalar())
 
 
 def exact_quantiles(
@@ -33,73 +78,56 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles q0, q1, … and the row count n per group.
 
-    Null values and, where groups are given, null groups are left out.  With
-    groups, their sketches are written at once, so that Spark knows their size
-    and broadcasts them if it is small.
+    Null values and, where groups are given, null groups are left out.  The rounds run
+    when this is called; what they find is written.
     """
     keys = list(groups)
     rows = df.select(*keys, F.col(value).cast("double").alias("_value")).dropna()
-    ends = [
-        min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-_MARGIN, _MARGIN)
-    ]
-    sketch = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("_value").alias("_low"),
-        F.max("_value").alias("_high"),
-        F.percentile_approx("_value", ends, _ACCURACY).alias("_ends"),
-    ).where("n > 0")
-    small = F.col("n") <= _SMALL
-    brackets = sketch.select(
-        *keys,
-        "n",
-        F.array(*[
-            F.struct(
-                F.lit(index).alias("index"),
-                (F.lit(p) * (F.col("n") - 1)).alias("position"),
-                F.when(small, F.col("_low")).otherwise(F.col("_ends")[2 * index]).alias("low"),
-                F.when(small, F.col("_high")).otherwise(F.col("_ends")[2 * index + 1]).alias("high"),
-            )
-            for index, p in enumerate(probabilities)
-        ]).alias("_brackets"),
-    )
-    # Rows meet their brackets before any shuffle of theirs: what lies below becomes one count in each task
-    if keys:
-        matched = skew_join(rows, stage(brackets, "brackets"), keys)
-    else:
-        whole = brackets.select(F.struct("n", "_brackets")).scalar()
-        matched = rows.withColumn("_whole", whole).select("_value", "_whole.*")
-    wanted = (*keys, "n", "index", "position")
-    inside = (
-        matched.select(*keys, "n", "_value", F.inline("_brackets"))
-        .where(F.col("_value") <= F.col("high"))
-        .withColumn("_value", F.when(F.col("_value") >= F.col("low"), F.col("_value")))
-        .groupBy(*wanted, "_value").agg(F.count("*").alias("_rows"))
-    )
-    running = Window.partitionBy(*wanted).orderBy(F.asc_nulls_first("_value"))
-    ranked = inside.withColumn(
-        "_through", F.sum("_rows").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    rank = F.floor("position")
-    picked = ranked.groupBy(*wanted).agg(
-        F.max(F.when(F.col("_value").isNull(), F.col("_through"))).alias("_below"),
-        F.min(F.when(F.col("_through") > rank, F.col("_value"))).alias("_lower"),
-        F.min(F.when(F.col("_through") > rank + 1, F.col("_value"))).alias("_upper"),
-    )
-    missed = (
-        (F.coalesce("_below", F.lit(0)) > rank)
-        | F.col("_lower").isNull()
-        | (F.col("_upper").isNull() & (rank + 1 < F.col("n")))
-    )
-    quantile = F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(
-        _interpolated(
-            F.col("_lower"), F.coalesce("_upper", "_lower"), F.col("position") - rank
+    first = _cells(rows.withColumn("_cell", _power_cell(F.col("_value"))), *keys)
+    total = F.aggregate("_cells", F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    first = first.withColumn("n", total).where("n > 0")
+    wanted = []  # the two neighbours of each quantile
+    for p in probabilities:
+        rank = F.floor(F.lit(p) * (F.col("n") - 1))
+        wanted += [rank, F.least(rank + 1, F.col("n") - 1)]
+    ranks = first.select(*keys, "n", "_cells", F.posexplode(F.array(*wanted)).alias("target", "rank"))
+    found = stage(ranks.select(*keys, "target", "n", "rank", _cell_of_rank("_cells", F.col("rank")).alias("found")).select(
+        *keys, "target", F.col("n").alias("_all"), "rank", "found.below", "found.n", "found.low", "found.high"), "quantile-ranks")
+    settled = []
+    size = None
+    while True:
+        settled.append(found.where("low = high"))
+        unsettled = found.where("low < high")
+        left = unsettled.agg(F.sum("n")).first()[0]
+        if left is None:
+            break
+        size = size or found.agg(F.sum("_all") / (2 * len(probabilities))).first()[0]
+        targets = unsettled.groupBy(*keys).agg(F.collect_list(F.struct("target", "low", "high")).alias("_targets"))
+        met = _meet(rows, stage(targets, "quantile-targets"), keys, "_targets")
+        inside = F.exists("_targets", lambda t: F.col("_value").between(t["low"], t["high"]))
+        if left <= size * _FEW:
+            rows, size = stage(met.where(inside).select(*keys, "_value"), "quantile-rows"), left
+            met = _meet(rows, stage(targets, "quantile-targets"), keys, "_targets")
+        cells = (
+            met.select(*keys, "_value", F.inline("_targets"))
+            .where(F.col("_value").between(F.col("low"), F.col("high")))
+            .withColumn("_cell", _width_cell(F.col("_value"), F.col("low"), F.col("high")))
         )
-    )
-    values = picked.withColumn("_quantile", quantile)
-    return values.groupBy(*keys, "n").agg(*[
-        F.max(F.when(F.col("index") == index, F.col("_quantile"))).alias(f"q{index}")
-        for index in range(len(probabilities))
-    ])
+        narrowed = skew_join(unsettled, _cells(cells, *keys, "target"), [*keys, "target"])
+        inner = _cell_of_rank("_cells", F.col("rank") - F.col("below"))
+        found = stage(narrowed.withColumn("found", inner).select(
+            *keys, "target", "_all", "rank", (F.col("below") + F.col("found.below")).alias("below"),
+            "found.n", "found.low", "found.high"), "quantile-ranks")
+
+    every = reduce(DataFrame.unionByName, settled)
+    at = [F.max(F.when(F.col("target") == t, F.col("low"))).alias(f"_v{t}") for t in range(2 * len(probabilities))]
+    values = every.groupBy(*keys, F.col("_all").alias("n")).agg(*at)
+
+    def quantile(index: int, p: float) -> Column:
+        position = F.lit(p) * (F.col("n") - 1)
+        return _interpolated(F.col(f"_v{2 * index}"), F.col(f"_v{2 * index + 1}"), position - F.floor(position))
+
+    return values.select(*keys, "n", *[quantile(i, p).alias(f"q{i}") for i, p in enumerate(probabilities)])
 
 
 def box_statistics(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
