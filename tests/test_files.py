@@ -11,6 +11,7 @@ from tributary.operators.conform import (
 from tributary.sinks import exports
 from tributary.sources import readers
 from tributary.sources.flatten import flatten
+from tributary.sources.workbook_source import register
 
 
 def write(path, text):
@@ -158,6 +159,27 @@ def test_workbooks(spark, tmp_path, rows_of):
     assert rows_of(read.schema_issues) == sorted(("payroll", c) for c in PAYROLL_COLUMNS[2:])
 
 
+def test_workbook_source(spark, tmp_path):
+    """A folder with a large, a broken and an empty file: a partition each, rows in batches, none of the broken one."""
+    (tmp_path / "large one.xlsx").write_bytes(workbook([["k", "v"], *[[i, f"x{i}"] for i in range(12_000)]]))
+    broken = workbook([["k"], *[[i] for i in range(9_000)]])
+    at = broken.index(b"xl/worksheets/sheet1.xml") + 3000
+    (tmp_path / "broken.xlsx").write_bytes(broken[:at] + b"?" * 40 + broken[at + 40:])
+    (tmp_path / "empty.xlsx").write_bytes(b"")
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    register(spark)
+    for path in (str(tmp_path), f"file://{tmp_path}".replace(" ", "%20")):
+        read = spark.read.format("workbooks").load(path)
+        assert read.rdd.getNumPartitions() == 3
+        found = {r.name: (r.rows, r.errors) for r in read.groupBy(F.regexp_extract("path", "[^/]*$", 0).alias("name")).agg(
+            F.count_if(F.col("row") > 1).alias("rows"), F.count("error").alias("errors")).collect()}
+        assert sorted(found.values()) == [(0, 1), (0, 1), (12_000, 0)]
+    last = read.where("row = 12001").first()
+    assert last.cells == {"k": "11999", "v": "x11999"}
+    one = spark.read.format("workbooks").load(str(tmp_path / "large one.xlsx"))
+    assert one.count() == 12_001
+
+
 def test_missing_paths(spark, tmp_path):
     nowhere = str(tmp_path / "nowhere")
     for reader, columns in ((readers.read_delimited, 12), (readers.read_nested, 14),

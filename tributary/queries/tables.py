@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,6 @@ from tributary.queries.workbook_files import workbook
 from tributary.sinks import exports
 from tributary.sources import readers
 from tributary.sources.flatten import flatten
-from tributary.sources.workbooks import parse_workbooks
 from tributary.staging import stage, staging_path
 
 AS_OF = "2000-01-01"
@@ -583,22 +584,31 @@ def xml_roundtrip(spark, folder):
     return read.rows.unionByName(dead)
 
 
-def _as_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for number, batch in enumerate(batches):
-        rows = [list(batch.columns), *batch.astype(object).values.tolist()]
-        content = workbook(rows)
-        yield pd.DataFrame({"path": [f"book{number}-{len(rows)}"], "content": [content]})
+def _write_workbooks(folder: str):
+    """A function for mapInPandas that writes a workbook of each Arrow batch to the shared folder and gives its name."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system.create_dir(root)
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            rows = [list(batch.columns), *batch.astype(object).values.tolist()]
+            name = f"{task:05d}-{number:05d}.xlsx"  # a task that runs again writes the same
+            with system.open_output_stream(f"{root}/{name}") as stream:
+                stream.write(workbook(rows))
+            yield pd.DataFrame({"name": [name]})
+
+    return write
 
 
 def xlsx_roundtrip(spark, folder):
-    """Suppliers and customers as workbooks of one Arrow batch each, read back."""
+    """Suppliers and customers as workbook files of one Arrow batch each, read back."""
+    path = staging_path(spark, "workbook-files")
     payroll = _payroll(spark, folder).select(
         F.col("employee_id").cast("bigint").alias("employee_id"),
         F.col("company_origin").alias("source"), "base_salary", "currency")
-    books = stage(payroll.mapInPandas(_as_workbooks, "path string, content binary"), "books")
-    read = readers.workbook_rows(
-        stage(parse_workbooks(books), "workbooks"), "payroll",
-        ["employee_id", "source", "base_salary", "currency"], {"source": "company_origin"})
+    stage(payroll.mapInPandas(_write_workbooks(path), "name string"), "workbook-names")
+    read = readers.read_workbooks(
+        spark, path, "payroll", ["employee_id", "source", "base_salary", "currency"], {"source": "company_origin"})
     return read.rows
 
 

@@ -7,6 +7,7 @@ frame and a dead letter, so that a job goes on with its other sources.
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -30,6 +31,8 @@ from tributary.fixed_values import (
 from tributary.functions.text import conjunction, missing_to_null
 from tributary.operators.conform import empty_frame, map_codes, tag_source
 from tributary.sources.flatten import flatten
+from tributary.sources.workbook_source import NAME as WORKBOOKS
+from tributary.sources.workbook_source import reachable, register
 from tributary.sources.workbooks import parse_workbooks
 from tributary.staging import stage
 
@@ -295,16 +298,23 @@ def read_workbooks(
 ) -> SourceRead:
     """First sheet of each workbook, header in its first row, cells as text.
 
-    Workbooks are read in parallel, one task each.  The sheet's own `source`
+    Each workbook is a task that reads its rows from the file in place; in a store that
+    only Spark's readers open, the file is handed over whole.  The sheet's own `source`
     column becomes `company_origin` before the tag is added.
     """
     renames = {"source": "company_origin"} if renames is None else renames
     try:
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
+        found = spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         columns = [renames.get(c, c) for c in expected]
         return _unreadable(spark, tag, path, error, columns, False)
-    return workbook_rows(stage(parse_workbooks(files), "workbooks"), tag, expected, renames, na_tokens)
+    files = sorted(found.inputFiles())  # their names alone
+    if all(reachable(file) for file in files[:1]):
+        register(spark)
+        parsed = spark.read.format(WORKBOOKS).option("files", json.dumps(files)).load()
+    else:
+        parsed = parse_workbooks(found.select("path", "content"))
+    return workbook_rows(stage(parsed, "workbooks"), tag, expected, renames, na_tokens)
 
 
 def workbook_rows(

@@ -7,6 +7,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -73,15 +74,20 @@ def _value(cell, shared: list[str], dates: set[int], zero: datetime.datetime) ->
     return raw
 
 
-def _rows(content: bytes) -> Iterator[tuple[int, dict[str, str]]]:
+def _rows(file: BinaryIO) -> Iterator[tuple[int, dict[str, str]]]:
     """Row number and cells by column letters; rows without any value are left out."""
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+    with zipfile.ZipFile(file) as archive:
         shared = [_text(item) for item in _parts(archive, "xl/sharedStrings.xml", "si")]
         dates = _date_styles(archive)
         sheet, zero = _first_sheet(archive)
         with archive.open(sheet) as stream:
             number = 0
-            for _, element in ElementTree.iterparse(stream):
+            parser = ElementTree.iterparse(stream, ("start", "end"))
+            data = None
+            for event, element in parser:
+                if event == "start":
+                    data = element if element.tag == _MAIN + "sheetData" else data
+                    continue
                 if element.tag != _MAIN + "row":
                     continue
                 number = int(element.get("r", number + 1))
@@ -91,14 +97,18 @@ def _rows(content: bytes) -> Iterator[tuple[int, dict[str, str]]]:
                     if value is not None:
                         letters = re.sub("[0-9]", "", cell.get("r", "")) or f"#{place}"
                         cells[letters] = value
-                element.clear()
+                if data is not None:
+                    data.clear()  # else every row would stay in the tree, if only as an empty one
                 if cells:
                     yield number, cells
 
 
-def _named_rows(content: bytes) -> Iterator[tuple[int, dict[str, str]]]:
-    """The same by header name; blank rows between others come as empty ones."""
-    rows = _rows(content)
+def named_rows(file: BinaryIO) -> Iterator[tuple[int, dict[str, str]]]:
+    """Row number, 1 for the header, and cells by header name, one row after the other.
+
+    Blank rows between others come as empty ones.
+    """
+    rows = _rows(file)
     first, header = next(rows, (1, {}))
     yield 1, {name: name for name in header.values()}
     last = first
@@ -113,7 +123,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:  # a sheet holds at most 2**20 rows; none of them counts if one is defective
-                parsed = [(path, number, cells, None) for number, cells in _named_rows(content)]
+                parsed = [(path, number, cells, None) for number, cells in named_rows(io.BytesIO(content))]
             except Exception as error:
                 parsed = [(path, None, None, f"{type(error).__name__}: {error}")]
             for start in range(0, len(parsed), _BATCH_ROWS):
