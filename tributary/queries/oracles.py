@@ -307,6 +307,12 @@ ORACLES = {
     "parties": PARTIES,
     "source_counts": f"SELECT source, count(*) AS count FROM ({PARTIES}) GROUP BY 1",
     "format_ids": f"SELECT source, last_name, employee_id, manager_id FROM ({FORMATTED})",
+    "other_origins": """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'GlobalTech' WHEN 'MACHINERY' THEN 'AcquiredCo'
+            WHEN 'FURNITURE' THEN NULL ELSE 'ThirdCo' END AS company_origin,
+        CASE c_mktsegment WHEN 'BUILDING' THEN printf('GT-%06d', c_custkey) WHEN 'MACHINERY' THEN printf('AC-%06d', c_custkey)
+            ELSE c_custkey::VARCHAR END AS employee_id,
+        CASE c_mktsegment WHEN 'BUILDING' THEN printf('GT-%06d', c_nationkey) WHEN 'MACHINERY' THEN printf('AC-%06d', c_nationkey)
+            ELSE c_nationkey::VARCHAR END AS manager_id FROM customer""",
     "party_report": PARTY_REPORT,
     "code_map": """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' END
         AS o_orderstatus FROM orders""",
@@ -372,6 +378,16 @@ ORACLES = {
     "ghost_export": f"""SELECT employee_id AS payroll_employee_id, 'N/A (payroll-only record)' AS name,
         o_totalprice AS salary_usd_annual, 'No matching HRIS employee record' AS ghost_flag_reason
         FROM ({ORDER_GHOSTS})""",
+    "ghost_file": f"""SELECT employee_id AS payroll_employee_id, 'N/A (payroll-only record)' AS name,
+        o_totalprice AS salary_usd_annual, 'No matching HRIS employee record' AS ghost_flag_reason
+        FROM ({ORDER_GHOSTS})""",
+    "review_file": _part_linkage("employee_id") + REVIEW_EXPORT,
+    "report_file": STANDARD_REPORT,
+    "page_file": f"""SELECT count(*) AS total, count(*) FILTER (status = 'PASS') AS passed, count(*) FILTER (status = 'FAIL') AS failed,
+        count(*) FILTER (status = 'PASS') AS passed_rows, count(*) FILTER (status = 'FAIL') AS failed_rows FROM ({STANDARD_REPORT})""",
+    "exported_files": THREE_PASSES + """ SELECT 'golden' AS file, (SELECT count(*) FROM golden) AS rows
+        UNION ALL SELECT 'ghosts', NULL
+        UNION ALL SELECT 'review', (SELECT count(*) FROM review)""",
     "quality_report": QUALITY_REPORT,
     "standard_report": STANDARD_REPORT,
     "quality_gate": f"""SELECT count(*) AS checks, count(*) FILTER (status = 'FAIL') AS failed_checks,

@@ -55,6 +55,17 @@ def format_ids(spark, folder):
     return formatted.select("source", "last_name", "employee_id", "manager_id")
 
 
+def other_origins(spark, folder):
+    """Customers of three origins, one of them of neither company: its ids stay as they are."""
+    segment, key = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    origin = F.when(segment == "BUILDING", COMPANY_A).when(segment == "MACHINERY", COMPANY_B)
+    customers = _read(spark, folder, "customer").select(
+        F.col("c_custkey"), F.when(segment == "FURNITURE", None).otherwise(F.coalesce(origin, F.lit("ThirdCo"))).alias("company_origin"),
+        F.when(segment == "MACHINERY", F.concat(F.lit("ACQ_"), key)).otherwise(key).alias("employee_id"),
+        F.col("c_nationkey").cast("string").alias("manager_id"))
+    return clean.namespace_ids(customers)
+
+
 def party_report(spark, folder):
     """Conform, stack, namespace, deduplicate and check: one small job end to end."""
     formatted = clean.namespace_ids(parties(spark, folder))
@@ -363,6 +374,57 @@ def ghost_export(spark, folder):
     return exports.ghost_report(ghosts(spark, folder), salary="o_totalprice")
 
 
+# --- deliverables, written and read back -----------------------------------------------
+
+
+def _csv_back(spark, path, fields):
+    return spark.read.schema(fields).options(header=True, quote='"', escape='"', enforceSchema=False).csv(path)
+
+
+def ghost_file(spark, folder):
+    found = ghosts(spark, folder).withColumnRenamed("o_totalprice", "salary_usd_annual")
+    path = exports.write_ghost_report(found, staging_path(spark, "ghost-file"))
+    return _csv_back(spark, path, "payroll_employee_id long, name string, salary_usd_annual double, ghost_flag_reason string")
+
+
+def review_file(spark, folder):
+    review = linkage.review_list(_linked_parts(spark, folder))
+    path = exports.write_review_report(review, staging_path(spark, "review-file"))
+    return _csv_back(spark, path, "record_1_id string, record_2_id string, similarity_score double, "
+                                  "hire_date_diff_days int, recommended_action string")
+
+
+def report_file(spark, folder):
+    """Rows of the quality file; their place in it is the order of the checks."""
+    path = exports.write_quality_report(standard_report(spark, folder), staging_path(spark, "report-file"))
+    rows = _csv_back(spark, path, "check string, description string, total long, passed long, failed long, pass_rate double, status string")
+    return rows.select((F.monotonically_increasing_id() + 1).alias("position"), "*")  # one file, one task
+
+
+def page_file(spark, folder):
+    """What the head of the HTML page counts, and how many rows of each outcome follow."""
+    path = exports.write_quality_page(standard_report(spark, folder), staging_path(spark, "page-file"))
+    line = F.col("value")
+    counts = [F.max(F.regexp_extract(line, f"{name}: ([0-9]+)", 1).try_cast("bigint")).alias(alias)
+              for name, alias in (("Total checks", "total"), ("Passed", "passed"), ("Failed", "failed"))]
+    rows = [F.count_if(line.contains(f"<b>{status}</b>")).alias(alias) for status, alias in (("PASS", "passed_rows"), ("FAIL", "failed_rows"))]
+    return spark.read.text(path).agg(*counts, *rows)
+
+
+def exported_files(spark, folder):
+    """All deliverables of the three passes: rows of each file, null where none is written."""
+    _, result = _three_passes(spark, folder)
+    golden = result.golden.withColumn("company_origin", F.col("source"))
+    files = exports.export_all(golden, result.review, result.ghosts.where("false"), staging_path(spark, "deliverables"))
+    rows = []
+    for name, path in files.items():
+        read = spark.read.option("header", True)
+        count = None if path is None else F.count("*")
+        table = spark.range(1) if path is None else read.parquet(path) if name == "golden" else read.csv(path)
+        rows.append(table.agg(F.lit(name).alias("file"), F.lit(None).cast("bigint").alias("rows") if count is None else count.alias("rows")))
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 # --- quality ---------------------------------------------------------------------------
 
 
@@ -630,13 +692,13 @@ def golden_roundtrip(spark, folder):
 
 
 ALL = [
-    parties, source_counts, format_ids, party_report, code_map, code_map_table, unmapped_values,
+    parties, source_counts, format_ids, other_origins, party_report, code_map, code_map_table, unmapped_values,
     clean_names, parse_dates, annual_amount, payroll_counts, benefit_ids, unknown_category,
     unknown_category_table, flatten_json, page_stats, exact_dedup, exact_dedup_null_key,
     priority_dedup, priority_edges, shared_hosts, order_merge, drop_rows, linkage_candidates,
     linkage_matches, linkage_review, review_export, review_actions, url_candidates, url_matches,
     url_review, golden_provenance, match_edges, removed_by_step, stage_summary, ghosts, ghost_rate,
-    ghost_export, quality_report, standard_report, quality_gate, all_passed, check_labels,
+    ghost_export, ghost_file, review_file, report_file, page_file, exported_files, quality_report, standard_report, quality_gate, all_passed, check_labels,
     quality_page, value_counts, top15, distinct_count, distinct_labels, box_stats, box_outliers,
     tenure_hist, median_tenure, tenure_years, enrollment_rate, csv_roundtrip, csv_mixed_headers, csv_dead_letters,
     json_roundtrip, xml_roundtrip, xlsx_roundtrip, golden_roundtrip,
