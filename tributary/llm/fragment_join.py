@@ -3,18 +3,20 @@
 A document is the set of its word n-grams. All n-grams have one global order: rare ones
 first, by the number of documents that hold them where that is large, else by hash. Any
 two sets that are similar enough share an n-gram among the first few of both (prefix
-filter), so documents meet on these and the most frequent n-grams hardly ever count.
+filter), so documents meet on these and the most frequent n-grams hardly ever count. Where
+the first n-gram they share stands too far back in either, too few follow (position filter).
 
 For the pairs that remain the order is cut into fragments of about equal numbers of
 n-grams. Each set falls into one segment a fragment; overlaps of two segments are counted
 apart, fragment by fragment, and summed for each pair.
 
 Only components are wanted, so documents that meet on an n-gram are first compared with
-a few leaders of it, and then only with those that are still in other components. Between
-the two sets of a pair at most a certain number of n-grams may differ. The parities of 1,024
-hashed bits of both sets differ in no more bits than that, so pairs whose bits differ in
-more are left out without comparing the sets. Every step is lossless; the order only decides
-how many pairs meet.
+some leaders of it: each with the one whose bits are nearest, then with the others that are
+not in its component yet. At last all that meet and are still in different components are
+compared. Between the two sets of a pair at most a certain number of n-grams may differ. The
+parities of 1,024 hashed bits of both sets differ in no more bits than that, so pairs whose
+bits differ in more are left out without comparing the sets. Every step is lossless; the
+order only decides how many pairs meet.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from tributary.llm.words import mix, shingle_set, text_blocks, words_of
 from tributary.staging import stage
 
 WORDS, PERCENT = 4, 85
-FRAGMENTS = 8
+FRAGMENTS = 4
 #: Frequent n-grams whose place in the order is known to all tasks, 9 bytes each.
 MOST_FREQUENT = 1 << 20
 #: n-grams that a task counts at a time; it reports those of at least two documents.
@@ -41,7 +43,7 @@ _COUNTED_TOGETHER = 1 << 22
 _CLASSES_A_DOUBLING = 4
 _CLASS_BITS = 8
 #: Documents that the others which hold an n-gram are compared with first.
-LEADERS = 4
+LEADERS = 16
 #: Documents of an n-gram that meet in one block.
 BLOCK = 1024
 
@@ -150,7 +152,7 @@ def _signed(documents: DataFrame, order: GramOrder, words: int, percent: int) ->
                     continue
                 digests[i] = mix(own ^ np.uint64(len(own))).sum(), mix(own + np.uint64(7 * len(own) + 1)).sum()
                 length = prefix_length(len(own), percent)
-                prefixes.append(own[np.argpartition(order.places(own), length - 1)[:length]])
+                prefixes.append(own[np.argsort(order.places(own), kind="stable")[:length]])
             at = np.repeat(np.arange(len(sets)), n) * _BITS + (np.concatenate(sets) >> np.uint64(54)).astype(np.int64)
             odd = (np.bincount(at, minlength=len(sets) * _BITS) & 1).astype(np.uint8).reshape(len(sets), _BITS)
             sketch = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
@@ -172,18 +174,42 @@ def _sizes_allow(percent: int) -> Column:
     return F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent
 
 
+def _places_allow(percent: int) -> Column:
+    """Enough n-grams follow the shared one in both; where a linked pair meets first, it does."""
+    return F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place")) * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent
+
+
+def _differing() -> Column:
+    return sum(F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in _SKETCH)
+
+
 def _bits_allow(percent: int) -> Column:
     """No more bits differ than n-grams may: of sets x and y at most (100 - percent) (x + y) / (100 + percent)."""
-    differing = sum(F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in _SKETCH)
-    return differing * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)
+    return _differing() * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)
 
 
 def _with_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that sizes and bits allow."""
+    """Pairs (a, b) that sizes and bits allow, and the share of bits that differ."""
     own = F.struct("n", *_SKETCH)
     both = _join(_join(pairs, sketches.select(F.col("id").alias("a"), own.alias("l")), "a"),
                  sketches.select(F.col("id").alias("b"), own.alias("r")), "b")
-    return both.where(_sizes_allow(percent) & _bits_allow(percent)).select("a", "b", F.col("l.n").alias("n_a"), F.col("r.n").alias("n_b"))
+    return both.where(_sizes_allow(percent) & _bits_allow(percent)).select(
+        "a", "b", F.col("l.n").alias("n_a"), F.col("r.n").alias("n_b"), (_differing() / (F.col("l.n") + F.col("r.n"))).alias("apart"))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """For each document the pair whose bits differ least."""
+    pair = F.struct("apart", "a", "b", "n_a", "n_b").alias("pair")
+    each = pairs.select(F.explode(F.array("a", "b")).alias("id"), pair)
+    return each.groupBy("id").agg(F.min("pair").alias("pair")).select("pair.*").distinct()
+
+
+def _in_different(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs whose documents are in different components."""
+    for side in ("a", "b"):
+        own = found.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
+        pairs = _join(pairs, own, side, "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", side))
+    return pairs.where("in_a <> in_b").drop("in_a", "in_b")
 
 
 def segments(documents: DataFrame, classes: DataFrame, order: GramOrder, cuts: np.ndarray, words: int) -> DataFrame:
@@ -191,31 +217,30 @@ def segments(documents: DataFrame, classes: DataFrame, order: GramOrder, cuts: n
     wanted = key_filter(classes, "doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, words, wanted):
-            out = {"doc_id": [], "id": [], "fragment": [], "grams": []}
-            for doc_id, own in zip(ids.to_pylist(), sets, strict=True):
+        for _, sets in _sets(batches, words, wanted):
+            out = {"id": [], "fragment": [], "grams": []}
+            for own in sets:
                 if not len(own):
                     continue
                 digest = mix(own ^ np.uint64(len(own))).sum().view(np.int64)
                 fragments = np.searchsorted(cuts, order.places(own), "right")
                 for fragment in np.unique(fragments).tolist():
-                    out["doc_id"].append(doc_id)
                     out["id"].append(digest)
                     out["fragment"].append(fragment)
                     out["grams"].append(own[fragments == fragment].view(np.int64))
             yield pa.RecordBatch.from_pydict(out, pa.schema([
-                ("doc_id", pa.int64()), ("id", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]))
+                ("id", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]))
 
-    rows = documents.where("doc_id IS NOT NULL").mapInArrow(cut, "doc_id long, id long, fragment int, grams array<long>")
-    rows = _join(rows, classes.select("id", "doc_id"), ["id", "doc_id"], "left_semi")
+    rows = documents.where("doc_id IS NOT NULL").mapInArrow(cut, "id long, fragment int, grams array<long>")
     return rows.groupBy("id", "fragment").agg(F.first("grams").alias("grams"))  # of rows that repeat a document
 
 
-def links(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
+def links(pairs: DataFrame, cut: DataFrame, fragments: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose overlaps, counted in each fragment and summed, reach the similarity."""
     a = cut.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     b = cut.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = _join(_join(pairs, a, "a"), b, ["b", "fragment"]).select(
+    each = pairs.select("a", "b", "n_a", "n_b", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
+    partial = _join(_join(each, a, ["a", "fragment"]), b, ["b", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
     whole = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
     return whole.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent).select("a", "b")
@@ -224,10 +249,11 @@ def links(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
 def _led(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of each document and the leaders of its n-grams whose sizes allow it: in each part of the ids the least by hash."""
     turn = F.xxhash64("id")
-    least = F.min(F.struct(turn.alias("turn"), F.col("id"), F.col("n"))).alias("least")
-    leaders = members.groupBy("gram", F.pmod(turn, F.lit(LEADERS)).alias("part")).agg(least).select("gram", "least.id", "least.n")
+    least = F.min(F.struct(turn.alias("turn"), F.col("id"), F.col("n"), F.col("place"))).alias("least")
+    leaders = members.groupBy("gram", F.pmod(turn, F.lit(LEADERS)).alias("part")).agg(least).select("gram", "least.*")
     met = members.alias("l").join(
-        leaders.hint("merge").alias("r"), (F.col("l.gram") == F.col("r.gram")) & (F.col("l.id") != F.col("r.id")) & _sizes_allow(percent))
+        leaders.hint("merge").alias("r"),
+        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.id") != F.col("r.id")) & _sizes_allow(percent) & _places_allow(percent))
     return met.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
 
 
@@ -237,7 +263,7 @@ def _apart(members: DataFrame, found: DataFrame, sketches: DataFrame, percent: i
     Documents of an n-gram meet in blocks, each block with itself and all later ones.
     """
     placed = _join(members, found.withColumnRenamed("node", "id"), "id", "left").select(
-        "gram", "id", F.coalesce("component", "id").alias("component"))
+        "gram", "id", "place", F.coalesce("component", "id").alias("component"))
     placed = stage(placed, "placed-members")
     open_grams = placed.groupBy("gram").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where("low < high")
@@ -245,13 +271,13 @@ def _apart(members: DataFrame, found: DataFrame, sketches: DataFrame, percent: i
     rest = _join(placed, open_grams.select("gram", blocks.alias("blocks")), "gram")
     rest = stage(_join(rest, sketches, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "members-apart")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = ["id", "n", "component", *_SKETCH]
+    own = ["id", "n", "place", "component", *_SKETCH]
     left = rest.select("gram", F.col("block").alias("i"), other.alias("j"), *own).where("j >= i").alias("l")
     right = rest.select("gram", other.alias("i"), F.col("block").alias("j"), *own).where("i <= j").alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("gram", "i", "j")]
     once = (F.col("l.i") != F.col("l.j")) | (F.col("l.id") < F.col("r.id"))
     met = left.join(right.hint("merge"), same[0] & same[1] & same[2] & once & (F.col("l.component") != F.col("r.component"))
-                    & _sizes_allow(percent) & _bits_allow(percent))
+                    & _sizes_allow(percent) & _places_allow(percent) & _bits_allow(percent))
     return met.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b"),
                       F.when(F.col("l.id") > F.col("r.id"), F.col("l.n")).otherwise(F.col("r.n")).alias("n_a"),
                       F.when(F.col("l.id") > F.col("r.id"), F.col("r.n")).otherwise(F.col("l.n")).alias("n_b")).distinct()
@@ -273,22 +299,35 @@ def similar_documents(documents: DataFrame, words: int = WORDS, percent: int = P
     known = signed.where("doc_id IS NOT NULL AND id IS NOT NULL")
     classes = known.groupBy("id", "check", "n").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["prefix", *_SKETCH]))
     sketches = stage(classes.select("id", "doc_id", "n", *_SKETCH), "set-sketches")
-    postings = classes.select("id", "n", F.explode("prefix").alias("gram"))
+    postings = classes.select("id", "n", F.posexplode("prefix").alias("place", "gram"))
     shared = postings.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1").select("gram")
     members = stage(_join(postings, shared, "gram"), "gram-members")
 
     total = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cuts = pivots(in_class, total, fragments)
     slim = sketches.select("id", "n", *_SKETCH)
-    found = None
-    for candidates in (lambda: _with_sketches(_led(members, percent), slim, percent), lambda: _apart(members, found, slim, percent)):
-        pairs = stage(candidates(), "near-pairs")
+
+    def cut(pairs: DataFrame) -> DataFrame:
         met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        cut = stage(segments(documents, _join(sketches.select("id", "doc_id"), met, "id", "left_semi"), order, cuts, words), "set-segments")
-        more = links(pairs, cut, percent)
+        own = _join(sketches.select("id", "doc_id"), met, "id", "left_semi")
+        return stage(segments(documents, own, order, cuts, words), "set-segments")
+
+    def grown(found: DataFrame | None, pairs: DataFrame, parts: DataFrame) -> DataFrame:
+        more = links(pairs, parts, fragments, percent)
         if found is not None:  # components found so far are stars already
             more = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        found = stage(components(more), "components")
+        return stage(components(more), "components")
+
+    led = stage(_with_sketches(_led(members, percent), slim, percent), "led-pairs")
+    nearest = stage(_nearest(led), "nearest-pairs")
+    parts = cut(led)
+    found = grown(None, nearest, parts)
+    others = stage(_in_different(_join(led, nearest.select("a", "b"), ["a", "b"], "left_anti"), found), "other-pairs")
+    if others.take(1):
+        found = grown(found, others, parts)
+    apart = stage(_apart(members, found, slim, percent), "pairs-apart")
+    if apart.take(1):
+        found = grown(found, apart, cut(apart))
 
     named = _join(sketches.select("id", "doc_id"), found.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
