@@ -6,6 +6,7 @@ import zlib
 
 import pyarrow.fs
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import words
 from tributary.llm import zip_archives
@@ -92,6 +93,18 @@ def test_damaged_packages_are_errors(spark, tmp_path):
             read_packages(spark.createDataFrame([(str(tmp_path / name),)], "path string")).collect()
 
 
+def test_many_tasks_read(spark, tmp_path, monkeypatch):
+    """The number of tasks follows the bytes of the ranges, not those of the rows that name them."""
+    pages, table = pages_table(spark)
+    packages = write_packages(table.repartition(6), str(tmp_path / "packages"))
+    monkeypatch.setattr(zip_archives, "PACKAGES_A_TASK", 1)
+    monkeypatch.setattr(zip_archives, "RANGE_BYTES", 200)
+    found = read_packages(packages, payloads=False)
+    assert found.count() == table.count() and found.rdd.getNumPartitions() > 3
+    readers = found.select(F.spark_partition_id()).distinct().count()
+    assert readers > 1
+
+
 def test_empty_tables(spark, tmp_path):
     _, table = pages_table(spark)
     assert write_packages(table.filter("false"), str(tmp_path / "none")).count() == 0

@@ -31,6 +31,8 @@ from tributary.staging import stage, staging_path
 PACKAGE_BYTES = 64 << 20
 #: Bytes that one reading step takes at most, if no single record is longer.
 RANGE_BYTES = 4 << 20
+#: Packages whose directories one task reads, and ranges whose records one task reads.
+PACKAGES_A_TASK, RANGES_A_TASK = 16, 4
 
 _END, _END64, _LOCATOR64, _ENTRY, _LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 
@@ -291,9 +293,14 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [()] * len(_RECORD), _RECORD, strict=True)], schema=_RECORD)
 
-    paths = packages.filter("path IS NOT NULL").select("path").repartition(F.col("path"))
-    ranges = paths.mapInArrow(locate, "path string, begin long, end long, zipped boolean")
-    return ranges.repartition(F.col("path"), F.col("begin")).mapInArrow(
+    # Names and ranges are a few bytes each, what they stand for is not: tasks are counted by that
+    paths = stage(packages.filter("path IS NOT NULL").select("path"), "package-names")
+    tasks = max(1, -(-paths.count() // PACKAGES_A_TASK))
+    ranges = stage(paths.repartition(tasks, "path").mapInArrow(
+        locate, "path string, begin long, end long, zipped boolean"), "package-ranges")
+    size = ranges.agg(F.coalesce(F.sum(F.col("end") - F.col("begin")), F.lit(0))).first()[0]
+    tasks = max(1, -(-size // (RANGES_A_TASK * RANGE_BYTES)))
+    return ranges.repartition(tasks, "path", "begin").mapInArrow(
         read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
