@@ -27,7 +27,7 @@ def test_components_equal_brute_force(spark):
     assert out.component_id.value_counts().iloc[0] > 5
 
 
-@pytest.mark.parametrize(("percent", "fragments", "most"), [(60, 1, 10**6), (95, 3, 0), (75, 20, 40)])
+@pytest.mark.parametrize(("percent", "fragments", "most"), [(60, 1, 0), (75, 20, 40)])
 def test_other_shares_fragments_and_orders(spark, monkeypatch, percent, fragments, most):
     """The result does not depend on the order of n-grams, the fragments or the blocks."""
     monkeypatch.setattr(fragment_join, "BLOCK", 8)
