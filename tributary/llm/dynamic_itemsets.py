@@ -52,7 +52,7 @@ _GATHERED = 1 << 20
 #: Eighths of the documents that are searched one after the other for the first words of phrases.
 _SEARCHED = ((0, 1), (1, 2), (2, 4), (4, 8))
 #: Parts of a language that are ranked apart before they are ranked together.
-_RANKED_APART = 64
+_RANKED_APART = 16
 
 _SIGNS = [*range(10, 14), *b".,;:!?"]
 _INSIDE = np.ones(256, np.uint8)
@@ -123,17 +123,18 @@ def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"key": keys[first].view(np.int64), "n": np.diff(first, append=len(keys)).astype(np.int64)})
 
 
-def _counts(documents: DataFrame, words_too: bool, reached: KeyFilter | None, recent: KeyFilter | None, longest: int) -> DataFrame:
-    """key, n and tag (number of words; 0 stands for all words of a language) in some documents."""
+def _counts(documents: DataFrame, words_too: bool, reached: KeyFilter | None, recent: KeyFilter | None, lengths: set[int]) -> DataFrame:
+    """key, n and tag (number of words; 0 stands for all words of a language) of active phrases of some lengths in some documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, size = [], 0
         for block, _ in _blocks(batches):
             found = []
             if words_too:
                 found += [block.words, block.languages]
-            if reached is not None:
-                for _, first, last, own in block.phrases(reached, longest):
-                    found.append(own if recent is None else own[recent.holds(first) | recent.holds(last)])
+            if lengths:
+                for length, (_, first, last, own) in enumerate(block.phrases(reached, max(lengths)), 2):
+                    if length in lengths:
+                        found.append(own if recent is None else own[recent.holds(first) | recent.holds(last)])
             gathered += found
             size += sum(map(len, found))
             if size >= _GATHERED:
@@ -185,25 +186,26 @@ def _frequent(documents: DataFrame, threshold: int, longest: int, shards: int) -
     """key, n and tag of all words and phrases that occur at least `threshold` times, and of all languages (tag 0)."""
     shard = F.pmod(F.xxhash64("lang", "text"), F.lit(shards))
     counted = _Counted(documents, shards)
-    reached: list[DataFrame] = []  # by step: key and tag of what reached the threshold then
+    reached: list[tuple[DataFrame, set[int]]] = []  # by step: key and tag of what reached the threshold then, and its lengths
     latest: dict[int, DataFrame] = {}  # by length: all that has
     empty = documents.sparkSession.createDataFrame([], "key long, n long, tag int")
     step = 0
     while True:
-        before = reduce(DataFrame.union, reached, empty.select("key", "tag")).where(F.col("tag") < longest)
-        recent = reduce(DataFrame.union, reached[max(0, step - shards):], empty.select("key", "tag")).where(F.col("tag") < longest)
-        started = step > 0 and bool(recent.take(1))
-        if step >= shards and not started:
+        lengths = {tag + 1 for _, tags in reached[max(0, step - shards):] for tag in tags if tag < longest}
+        if step >= shards and not lengths:
             break
+        before, recent = (reduce(DataFrame.union, [rows for rows, _ in some], empty.select("key", "tag")).where(F.col("tag") < longest)
+                          for some in (reached, reached[max(0, step - shards):]))
         tags = counted.add(step, _counts(
             documents.where(shard == step % shards), step < shards,
-            key_filter(before) if started else None, key_filter(recent) if step > shards else None, longest)) - {0}
+            key_filter(before) if lengths else None, key_filter(recent) if lengths and step > shards else None, lengths)) - {0}
+        rows, own = empty.select("key", "tag"), set()
         if tags:
             found = stage(reduce(DataFrame.union, [counted.totals(tag, threshold) for tag in sorted(tags)]), "frequent-phrases")
-            reached.append(stage(found.select("key", "tag").join(before.select("key").hint("merge"), "key", "left_anti"), "reached"))
+            rows = stage(found.select("key", "tag").join(before.select("key").hint("merge"), "key", "left_anti"), "reached")
+            own = {r.tag for r in rows.select("tag").distinct().collect()}  # at most 2 ** _TAG_BITS
             latest |= {tag: found.where(F.col("tag") == tag) for tag in tags}
-        else:
-            reached.append(empty.select("key", "tag"))
+        reached.append((rows, own))
         step += 1
     return reduce(DataFrame.union, latest.values(), counted.totals(0, 1) if counted.steps[0][2] else empty)
 
@@ -319,9 +321,10 @@ def _texts(documents: DataFrame, keys: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.uint64)
         for block, names in _blocks(batches):
-            own, at = np.unique(block.words, return_index=True)
-            fresh = wanted.holds(own) & ~np.isin(own, seen)
-            own, at = own[fresh], at[fresh]
+            held = np.flatnonzero(wanted.holds(block.words))
+            own, at = np.unique(block.words[held], return_index=True)
+            fresh = ~np.isin(own, seen)
+            own, at = own[fresh], held[at[fresh]]
             seen = np.union1d(seen, own)
             begin, end = block.cut.begin[at].tolist(), block.cut.end[at].tolist()
             texts = [LOWER[block.texts.data[b:e]].tobytes().decode("utf-8", "replace") for b, e in zip(begin, end, strict=True)]
