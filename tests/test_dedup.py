@@ -305,6 +305,36 @@ def test_large_cells_meet_in_blocks(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == wanted
 
 
+def addresses(seed, count):
+    """Names that share most of their characters with most others."""
+    draw = random.Random(seed)
+    name = lambda: (f"{draw.choice(['shop.example.net', 'shop.example.org'])}/{draw.choice(['en', 'fr'])}/"
+                    f"{draw.randrange(3000)}{draw.choice(['', '/', '.html', '#' + 'top' * 12])}")
+    return sorted({name() for _ in range(count)})
+
+
+def test_names_of_a_common_prefix_keep_only_their_best(spark, monkeypatch):
+    for name, size in (("_LEFT_BLOCK", 7), ("_RIGHT_BLOCK", 20), ("_PAIRS_A_TASK", 500)):
+        monkeypatch.setattr(linkage, name, size)
+    rosters = [[(f"{side}{i}", n, n, None, i * 17 % 101, side) for i, n in enumerate(addresses(seed, count))]
+               for side, seed, count in (("l", 1, 70), ("r", 2, 101))]
+    expected = all_pairs(*rosters)
+    assert as_dict(linked(spark, *rosters)) == expected and len(expected) > 60
+
+
+def test_pairs_of_a_common_prefix_grow_with_the_names(spark):
+    """Most pairs reach the cutoff, but a left name has at most `limit` in a block, and no cell meets on the prefix."""
+    sides = [linkage.with_character_sets(spark.createDataFrame([("S", n, i) for i, n in enumerate(own)], "block string, key string, first_ord int"))
+             for own in ([f"shop.example.net/en/item/{i:04d}" for i in range(first, 1600, 2)] for first in (0, 1))]
+    planned = linkage.cells(*sides, 88, linkage._MEETING_COST)
+    assert planned.where("pieces IS NOT NULL").count() == 1
+    planned = linkage._with_rare_pieces(*sides, planned).cache()
+    assert planned.where("pieces IS NULL").count() == 1
+    got = linkage.nearest_in_blocks(*sides, planned, 88, 5)
+    assert got.columns == ["block", "key", "right_key", "first_ord", "score"]
+    assert got.count() == 800 * 5
+
+
 def name_roster(seed, size):
     """Distinct names of syllables, with near copies between both sides."""
     draw = random.Random(seed)

@@ -14,7 +14,9 @@
   and Feng 2012, with insertions and deletions only).
 * Small cells, and those whose pieces would be too short, compare all their names instead,
   in blocks. Which way a cell takes follows from the counted names of both sides; results
-  are the same.
+  are the same. Where only the best are wanted, cells whose names share pieces (a host, a
+  prefix) compare all as well: a block then keeps the best of each left name and computes
+  the LCS of those alone that their characters allow to come before these.
 * A pair that meets passes a test on 128-bit sets of its characters and, if it met on
   several pieces, counts at the first of them alone.
 * Cutoffs are tried from equal names downwards.  A left name that has found as
@@ -26,10 +28,15 @@ Every step is exact: the result equals that of comparing all pairs in a block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.fixed_values import (
     ACTION_REVIEW,
@@ -41,7 +48,7 @@ from tributary.fixed_values import (
     METHOD_FUZZY,
 )
 from tributary.functions.dates import day_difference
-from tributary.functions.similarity import lcs_length, reaches, score
+from tributary.functions.similarity import NearestNames, lcs_length, reaches, score
 from tributary.functions.text import block_key, token_sorted
 from tributary.operators.skew import skew_join
 from tributary.staging import stage
@@ -54,6 +61,10 @@ INDEX_COST = 1
 _SHORTEST_PIECE = 3
 #: Names of each side that meet in one block where a cell compares all.
 _BLOCK = 512
+#: The same where only the best are kept, and pairs of a task there.
+_LEFT_BLOCK, _RIGHT_BLOCK, _PAIRS_A_TASK = 2048, 16384, 1 << 22
+#: Pairs of a block that a meeting on a piece is worth, and one of how many names are counted for it.
+_MEETING_COST, _COUNTED = 10, 8
 
 
 def linkage_rows(
@@ -182,8 +193,8 @@ def _first_meeting() -> Column:
     return F.expr(f"piece is null or piece = 0 or not exists({earlier}, e -> {stands})")
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int, index_cost: float = INDEX_COST) -> DataFrame:
-    """Pairs of distinct names of one block whose score reaches the cutoff.
+def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int, index_cost: float = INDEX_COST, planned: DataFrame | None = None) -> DataFrame:
+    """Pairs of distinct names of one block whose score reaches the cutoff, of all cells or the planned ones.
 
     Inputs come from with_character_sets; further columns of the right side stay.  The
     exploded sides are far larger than their inputs suggest, hence the hint for
@@ -191,7 +202,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int, index_cost: fl
     """
     own = ("block", "key", "length", "low_bits", "high_bits")
     others = [c for c in right.columns if c not in own]
-    a, b, same = meetings(left, right, stage(cells(left, right, cutoff, index_cost), "linkage-cells"))
+    planned = stage(cells(left, right, cutoff, index_cost), "linkage-cells") if planned is None else planned
+    a, b, same = meetings(left, right, planned)
 
     def lacking(one: str, other: str) -> str:
         return " + ".join(f"bit_count({one}.{bits} & ~{other}.{bits})" for bits in ("low_bits", "high_bits"))
@@ -214,6 +226,98 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: int, index_cost: fl
     )
 
 
+def _with_rare_pieces(left: DataFrame, right: DataFrame, planned: DataFrame) -> DataFrame:
+    """Cells with `pieces` only where names seldom meet on them, by the counts of some names of both sides."""
+    cell = ["block", "l_length", "r_length"]
+    some = F.expr(f"pmod(xxhash64(key), {_COUNTED}) = 0")
+    a, b, _ = meetings(left.where(some), right.where(some), planned.where("pieces IS NOT NULL"))
+    met = (
+        a.groupBy("meeting", *cell).agg(F.count("*").alias("a_rows"))
+        .join(b.groupBy("meeting").agg(F.count("*").alias("b_rows")), "meeting")
+        .groupBy(*cell).agg((F.sum(F.col("a_rows") * F.col("b_rows")) * _COUNTED**2).alias("met"))
+    )
+    seldom = F.coalesce("met", F.lit(0)) * _MEETING_COST <= F.col("l_names") * F.col("r_names")
+    return planned.join(met, cell, "left").withColumn("pieces", F.when(seldom, F.col("pieces"))).drop("met")
+
+
+def nearest_in_blocks(left: DataFrame, right: DataFrame, planned: DataFrame, cutoff: int, limit: int) -> DataFrame:
+    """Pairs of the planned cells whose score reaches the cutoff, among them the `limit` best of each left name.
+
+    A left name has at most `limit` pairs a block. Right names come in the order of
+    `first_ord`; blocks are dealt to tasks by their number of pairs, not by bytes.
+    """
+    others = [c for c in right.columns if c not in ("block", "key", "length", "low_bits", "high_bits")]
+    kinds = {field.name: field.dataType for field in right.schema}
+    waiting = planned.groupBy("block", "r_length").agg(
+        F.ceil(F.sum("l_names") / _LEFT_BLOCK).cast("int").alias("l_blocks"),
+        F.ceil(F.first("r_names") / _RIGHT_BLOCK).cast("int").alias("r_blocks"))
+    known = planned.select("block", "l_length", "r_length").join(waiting, ["block", "r_length"])
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        return rows.withColumns({
+            f"_{own}": F.pmod(F.xxhash64("key"), F.col(f"{own}_blocks")).cast("int"), "_side": F.lit(int(own == "r"))}).withColumn(
+            f"_{other}", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+
+    l = dealt(skew_join(left.withColumn("l_length", F.col("length")), known, ["block", "l_length"]), "l", "r")
+    l = l.withColumns({c: F.lit(None).cast(kinds[c]) for c in others})
+    r = dealt(skew_join(right.withColumn("r_length", F.col("length")), waiting, ["block", "r_length"]), "r", "l")
+    place = ["block", "r_length", "_l", "_r"]
+    columns = [*place, "_side", "key", "low_bits", "high_bits", *others]
+    pairs = planned.agg(F.sum(F.col("l_names").cast("double") * F.col("r_names"))).first()[0] or 0
+    rows = l.select(*columns).unionByName(r.select(*columns)).repartition(int(pairs // _PAIRS_A_TASK) + 1, *place)
+    fields = T.StructType([
+        T.StructField("block", T.StringType()), T.StructField("key", T.StringType()), T.StructField("right_key", T.StringType()),
+        *[T.StructField(c, kinds[c]) for c in others], T.StructField("lcs", T.IntegerType())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, names, waiting, found, met = None, [], [], None, []
+
+        def sets(run: pa.RecordBatch) -> np.ndarray:
+            return np.column_stack([run.column(c).to_numpy().view(np.uint64) for c in ("low_bits", "high_bits")])
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if found is not None and len(found.best()[0]):
+                l, r, lcs = found.best()
+                rights = pa.Table.from_batches(met).take(pa.array(r)).combine_chunks()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at[0]] * len(l), pa.string()), pa.array(names, pa.string()).take(pa.array(l)),
+                     *[rights.column(c).combine_chunks() for c in ("key", *others)], pa.array(lcs.astype(np.int32))],
+                    ["block", "key", "right_key", *others, "lcs"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            turns = np.zeros(len(batch) - 1, bool)
+            for c in (*place, "_side"):
+                turns |= pc.not_equal(batch.column(c)[1:], batch.column(c)[:-1]).to_numpy(zero_copy_only=False)
+            for begin, end in zip([0, *(np.flatnonzero(turns) + 1)], [*(np.flatnonzero(turns) + 1), len(batch)], strict=True):
+                run = batch.slice(begin, end - begin)
+                here = tuple(run.column(c)[0].as_py() for c in place)
+                if here != at:
+                    yield from ended()
+                    at, names, waiting, found, met = here, [], [], None, []
+                if run.column("_side")[0].as_py() == 0:
+                    names += run.column("key").to_pylist()
+                    waiting.append(sets(run))
+                elif names:
+                    found = found or NearestNames(names, np.concatenate(waiting), here[1], cutoff, limit)
+                    found.meet(run.column("key").to_pylist(), sets(run))
+                    met.append(run.select(["key", *others]))
+        yield from ended()
+
+    near = rows.sortWithinPartitions(*place, "_side", "first_ord").mapInArrow(search, fields)
+    total = F.length("key") + F.length("right_key")
+    return near.select("block", "key", "right_key", *others, score(F.col("lcs"), total).alias("score"))
+
+
+def nearest_pairs(left: DataFrame, right: DataFrame, cutoff: int, limit: int) -> DataFrame:
+    """Pairs whose score reaches the cutoff, among them the `limit` best of each left name."""
+    planned = stage(cells(left, right, cutoff, _MEETING_COST), "linkage-cells")
+    planned = stage(_with_rare_pieces(left, right, planned), "linkage-cells")
+    rare, common = planned.where("pieces IS NOT NULL"), planned.where("pieces IS NULL")
+    return nearest_in_blocks(left, right, common, cutoff, limit).unionByName(similar_pairs(left, right, cutoff, planned=rare))
+
+
 def _best(pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
     """The `limit` best right rows per left name: score, then input order.
 
@@ -281,7 +385,7 @@ def best_candidates(
             pairs = equal_names(wanted)
         else:  # empty names have no characters to meet on
             blank = equal_names(wanted.where("length = 0"))
-            pairs = similar_pairs(wanted, targets, step).unionByName(blank)
+            pairs = nearest_pairs(wanted, targets, step, limit).unionByName(blank)
         found = stage(_best(pairs, members, limit), "linkage-found")
         if step != cutoff:
             found = found.where(F.size("candidates") >= limit)
