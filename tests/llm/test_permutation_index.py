@@ -84,3 +84,21 @@ def test_an_id_with_several_vectors_counts_once(spark):
     scores = {j: max((vectors[q] * vectors[i]).sum() for q in range(0, 300, 60) for i in range(j, 300, 60)) for j in range(1, 60)}
     best = sorted(scores, key=lambda j: (-scores[j], j))[:20]
     assert got == {j: scores[j] for j in best}
+
+
+@pytest.mark.parametrize("prefix", [40, 300])
+def test_block_reranks_the_nearest_orders(monkeypatch, prefix):
+    """Sums of places agree with the footrule distances of whole orders, for short and long prefixes."""
+    monkeypatch.setattr(permutation_index, "LEAST_RERANKED", 12)
+    draw = np.random.default_rng(prefix)
+    vectors = draw.standard_normal((90, 6))
+    orders, pivots = np.array([draw.permutation(320)[:prefix] for _ in vectors], np.uint16), 320
+    places = np.full((90, pivots), prefix)
+    places[np.arange(90)[:, None], orders] = np.arange(prefix)
+    found = permutation_index.search_block([np.array([i]) for i in range(90)], vectors, orders, pivots,
+                                           np.arange(5), vectors[:5], orders[:5], 4)
+    for query, ids, scores in found:
+        distance = np.abs(places - places[query]).sum(axis=1)
+        near = sorted(range(90), key=lambda i: (distance[i], i))[:13]
+        best = sorted((-(vectors[i] * vectors[query]).sum(), i) for i in near if i != query)[:4]
+        assert ids.tolist() == [i for _, i in best] and np.allclose(-scores, [s for s, _ in best])

@@ -2,7 +2,7 @@
 
 Every distinct vector is represented by the order of its nearest pivots, and
 keeps the smallest ids that have it beside it. Blocks of distinct vectors hold
-an inverted file for each pivot: who has it, and at which place. A query walks
+a file for each pivot: the place that each vector gives it. A query walks
 the files of its own pivots, adds up how well places agree, which is the
 footrule distance of the two orders, and the best tenth of a block is ranked
 again by the exact inner product. Only then do vectors become ids, so that
@@ -78,19 +78,21 @@ def search_block(ids: list[np.ndarray], vectors: np.ndarray, orders: np.ndarray,
                  queries: np.ndarray, query_orders: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, ids, scores) of the k nearest in the block, equal distances by smaller id; `ids` has the ids of each vector."""
     prefix = orders.shape[1]
-    posted = np.argsort(orders.ravel(), kind="stable")
-    ends = np.cumsum(np.bincount(orders.ravel(), minlength=pivots))
-    members, places = posted // prefix, (posted % prefix).astype(np.int32)
-    files = [(members[b:e], places[b:e]) for b, e in zip(np.append(0, ends[:-1]), ends, strict=True)]
+    weight = np.uint16 if prefix < 256 else np.int64  # holds their sum
+    # A file has the number of places from a pivot's place to the prefix's end, none where it has no place.
+    files = np.zeros((pivots, len(ids)), weight)
+    files[orders, np.arange(len(ids))[:, None]] = np.arange(prefix, 0, -1, dtype=weight)
     # One more than are wanted, for the query's own vector.
     count = min(len(ids), max(LEAST_RERANKED, int(len(ids) * RERANKED), 2 * k) + 1)
     for query_id, query, order in zip(query_ids, queries, query_orders, strict=True):
         # The footrule distance is a constant less twice this sum over shared pivots.
-        agreement = np.zeros(len(ids), np.int32)
+        agreement, common = np.zeros((2, len(ids)), weight)
         for place, pivot in enumerate(order):
-            who, theirs = files[pivot]
-            agreement[who] += prefix - np.maximum(theirs, place)
-        chosen = np.argsort(-agreement, kind="stable")[:count] if count < len(ids) else np.arange(len(ids))
+            np.minimum(files[pivot], weight(prefix - place), out=common)
+            agreement += common
+        chosen = np.arange(len(ids))
+        if count < len(ids):  # equal agreement by order in the block
+            chosen = np.argpartition(-(agreement.astype(np.int64) * len(ids) - chosen), count - 1)[:count]
         scores = (vectors[chosen] * query).sum(axis=1)  # row by row alike, so that equal vectors get equal scores
         order = np.argsort(-scores, kind="stable")
         chosen, scores = chosen[order], scores[order]
