@@ -78,6 +78,37 @@ def test_first_grams_are_shared_by_similar_sets():
             assert first[0] & first[1]
 
 
+def test_parities_differ_in_no_more_bits_than_sets():
+    draw = np.random.default_rng(2)
+    for n, m in [(600, 600), (1024, 1025), (700, 4500), (2000, 2000), (9000, 8000)]:
+        a = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate([a[:int(draw.integers(0, min(n, m)))], draw.integers(0, 1 << 63, m).astype(np.uint64)])[:m]
+        apart = len(np.setxor1d(a, b))
+        for x, y in ((a, b), (b, a)):
+            assert fragment_join.differing_parities(*map(fragment_join.parities, map(np.unique, (x, y)))) <= apart
+        assert fragment_join.differing_parities(*[fragment_join.parities(np.unique(a))] * 2) == 0
+    assert fragment_join.parities(a[:fragment_join.LONG]) is None and fragment_join.differing_parities(None, b"") == 0
+
+
+def test_long_sets_that_are_not_similar_are_not_moved(spark, monkeypatch):
+    """Long texts that share passages meet, but only those of a likely pair have their sets cut and moved."""
+    moved, given = [], fragment_join.segments
+
+    def segments(documents, classes, *rest):
+        moved.extend(r.doc_id for r in classes.collect())
+        return given(documents, classes, *rest)
+
+    order = fragment_join.gram_order
+    monkeypatch.setattr(fragment_join, "segments", segments)
+    monkeypatch.setattr(fragment_join, "gram_order", lambda documents, size: order(documents, size, 0))  # common n-grams are not last
+    passage = words(500, 400)
+    texts = [f"{words(i, 4500)} {passage}" for i in range(6)]
+    copy = texts[0].split()
+    copy[::60] = ["changed"] * len(copy[::60])
+    out = check(spark, [*texts, " ".join(copy), words(99, 30)])
+    assert out.component_id.loc[18] == 0 and set(moved) == {0, 18}
+
+
 def test_pivots_cut_the_order_evenly():
     cuts = fragment_join.pivots({20: 300, 40: 100}, 1000, 10)
     level = (cuts >> np.uint64(56)).tolist()

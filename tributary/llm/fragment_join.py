@@ -15,8 +15,9 @@ some leaders of it: each with the one whose bits are nearest, then with the othe
 not in its component yet. At last all that meet and are still in different components are
 compared. Between the two sets of a pair at most a certain number of n-grams may differ. The
 parities of 1,024 hashed bits of both sets differ in no more bits than that, so pairs whose
-bits differ in more are left out without comparing the sets. Every step is lossless; the
-order only decides how many pairs meet.
+bits differ in more are left out without comparing the sets. Half of so few bits differ in any
+two long sets, so these have a parity bit for each n-gram besides, which pairs must pass before
+the sets are moved. Every step is lossless; the order only decides how many pairs meet.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.llm.components import components
 from tributary.llm.key_filter import key_filter
@@ -49,6 +52,8 @@ BLOCK = 1024
 
 _BITS = 1024
 _SKETCH = [f"s{i}" for i in range(_BITS // 64)]
+#: n-grams of a set above which it has parities of its own size.
+LONG = 512
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int, wanted=None) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -137,10 +142,33 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
+def parities(grams: np.ndarray) -> bytes | None:
+    """Of a long set the parities of as many hashed bits as the power of two from its size on has, 8 a byte; else None."""
+    if len(grams) <= LONG:
+        return None
+    bits = max(1 << (len(grams) - 1).bit_length(), 64)
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_parities(left: bytes | None, right: bytes | None) -> int:
+    """In how many bits two parities differ, the longer ones folded to the length of the others; 0 if one is None."""
+    if left is None or right is None:
+        return 0
+    a, b = (np.frombuffer(own, np.uint64) for own in (left, right))
+    a, b = (np.bitwise_xor.reduce(own.reshape(-1, min(len(a), len(b))), axis=0) for own in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+@F.pandas_udf(T.LongType())
+def _differing_parities(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([differing_parities(a, b) for a, b in zip(left, right, strict=True)], dtype="int64")
+
+
 def _signed(documents: DataFrame, order: GramOrder, words: int, percent: int) -> DataFrame:
-    """doc_id, n, id and check (two digests of the set), prefix, sketch words; digests of empty sets are null."""
+    """doc_id, n, id and check (two digests of the set), prefix, sketch words, parities of long sets; digests of empty sets are null."""
     fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("check", pa.int64()),
-                        ("prefix", pa.list_(pa.int64())), *((s, pa.int64()) for s in _SKETCH)])
+                        ("prefix", pa.list_(pa.int64())), *((s, pa.int64()) for s in _SKETCH), ("parities", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _sets(batches, words):
@@ -160,9 +188,10 @@ def _signed(documents: DataFrame, order: GramOrder, words: int, percent: int) ->
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(n), *(pa.array(digests[:, i].view(np.int64), mask=n == 0) for i in range(2)),
                  pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(prefixes).view(np.int64)), mask=empty),
-                 *(pa.array(sketch[:, i]) for i in range(len(_SKETCH)))], schema=fields)
+                 *(pa.array(sketch[:, i]) for i in range(len(_SKETCH))), pa.array([parities(own) for own in sets], pa.binary())], schema=fields)
 
-    return documents.mapInArrow(sign, "doc_id long, n long, id long, check long, prefix array<long>, " + ", ".join(f"{s} long" for s in _SKETCH))
+    return documents.mapInArrow(sign, "doc_id long, n long, id long, check long, prefix array<long>, "
+                                + ", ".join(f"{s} long" for s in _SKETCH) + ", parities binary")
 
 
 def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -197,6 +226,14 @@ def _with_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataF
         "a", "b", F.col("l.n").alias("n_a"), F.col("r.n").alias("n_b"), (_differing() / (F.col("l.n") + F.col("r.n"))).alias("apart"))
 
 
+def _parities_allow(pairs: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b, ...) of which one set is not long, or whose parities differ in no more bits than n-grams may."""
+    both = _join(_join(pairs, long.select(F.col("id").alias("a"), F.col("parities").alias("l")), "a", "left"),
+                 long.select(F.col("id").alias("b"), F.col("parities").alias("r")), "b", "left")
+    differing = _differing_parities("l", "r") * (100 + percent)
+    return both.where(differing <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select(*pairs.columns)
+
+
 def _nearest(pairs: DataFrame) -> DataFrame:
     """For each document the pair whose bits differ least."""
     pair = F.struct("apart", "a", "b", "n_a", "n_b").alias("pair")
@@ -299,6 +336,7 @@ def similar_documents(documents: DataFrame, words: int = WORDS, percent: int = P
     known = signed.where("doc_id IS NOT NULL AND id IS NOT NULL")
     classes = known.groupBy("id", "check", "n").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["prefix", *_SKETCH]))
     sketches = stage(classes.select("id", "doc_id", "n", *_SKETCH), "set-sketches")
+    long = stage(known.where("parities IS NOT NULL").groupBy("id").agg(F.first("parities").alias("parities")), "long-sets")
     postings = classes.select("id", "n", F.posexplode("prefix").alias("place", "gram"))
     shared = postings.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1").select("gram")
     members = stage(_join(postings, shared, "gram"), "gram-members")
@@ -318,14 +356,14 @@ def similar_documents(documents: DataFrame, words: int = WORDS, percent: int = P
             more = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
         return stage(components(more), "components")
 
-    led = stage(_with_sketches(_led(members, percent), slim, percent), "led-pairs")
+    led = stage(_parities_allow(_with_sketches(_led(members, percent), slim, percent), long, percent), "led-pairs")
     nearest = stage(_nearest(led), "nearest-pairs")
     parts = cut(led)
     found = grown(None, nearest, parts)
     others = stage(_in_different(_join(led, nearest.select("a", "b"), ["a", "b"], "left_anti"), found), "other-pairs")
     if others.take(1):
         found = grown(found, others, parts)
-    apart = stage(_apart(members, found, slim, percent), "pairs-apart")
+    apart = stage(_parities_allow(_apart(members, found, slim, percent), long, percent), "pairs-apart")
     if apart.take(1):
         found = grown(found, apart, cut(apart))
 
