@@ -16,8 +16,8 @@ not in its component yet. At last all that meet and are still in different compo
 compared. Between the two sets of a pair at most a certain number of n-grams may differ. The
 parities of 1,024 hashed bits of both sets differ in no more bits than that, so pairs whose
 bits differ in more are left out without comparing the sets. Half of so few bits differ in any
-two long sets, so these have a parity bit for each n-gram besides, which pairs must pass before
-the sets are moved. Every step is lossless; the order only decides how many pairs meet.
+two long sets, so these have one to two parity bits for each n-gram besides, which pairs must
+pass before the sets are moved. Every step is lossless; the order only decides how many pairs meet.
 """
 
 from __future__ import annotations
